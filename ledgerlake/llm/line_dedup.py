@@ -64,9 +64,13 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", site: s
     drops = cut(where.groupBy("key", "of").agg(F.collect_set("pos").alias("__drop")), "drops")
     drops = small(drops.withColumnsRenamed({"key": "__key", "of": "__of"}))
     both = docs.join(drops, F.col(key).eqNullSafe(F.col("__key")) & (F.xxhash64(text) == F.col("__of")), "left")
-    parts = _lines(F.col(text))
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__drop"))
-    left = F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n")
+
+    def kept(parts: Column) -> Column:
+        at = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__drop"))
+        return F.array_join(F.transform(at, lambda i: F.get(parts, i)), "\n")
+
+    # the lines are bound to a lambda's variable: split once, not once per line
+    left = F.transform(F.array(_lines(F.col(text))), kept)[0]
     hit = F.col("__drop").isNotNull()
     out = both.withColumn("__n", F.coalesce(F.size("__drop"), F.lit(0)).cast("long")).withColumn(text, F.when(hit, left).otherwise(F.col(text)))
     removed = F.when(hit, F.col("__n")).otherwise(F.lit(0)).cast("long")
