@@ -63,7 +63,7 @@ def _counts(kind: str, match: Column) -> Column:
     if kind == "card":
         digits = F.regexp_replace(match, r"[ -]", "")
         n = F.length(digits)
-        return n.between(13, 19) & F.coalesce(F.luhn_check(digits), F.lit(False)) & ~digits.rlike(r"^(.)\1*$")
+        return n.between(13, 19) & F.coalesce(F.call_function("luhn_check", digits), F.lit(False)) & ~digits.rlike(r"^(.)\1*$")
     return F.lit(True)
 
 
