@@ -14,7 +14,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import table
+from ledgerlake.llm.common import map_arrow, table
 
 #: A text longer than this is encoded in pieces of about this many characters.
 PIECE = 1 << 16
@@ -92,7 +92,7 @@ def encoded(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["key", "ids"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, ids array<int>").withColumnRenamed("key", key)
+    return map_arrow(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), run, f"key {kind}, ids array<int>").withColumnRenamed("key", key)
 
 
 def decoded(rows: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -105,7 +105,7 @@ def decoded(rows: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -
             yield pa.RecordBatch.from_arrays([batch.column(0), out], ["key", "bytes"])
 
     kind = rows.schema[key].dataType.simpleString()
-    return rows.select(F.col(key).alias("key"), F.col(ids).alias("ids")).mapInArrow(run, f"key {kind}, bytes binary").withColumnRenamed("key", key)
+    return map_arrow(rows.select(F.col(key).alias("key"), F.col(ids).alias("ids")), run, f"key {kind}, bytes binary").withColumnRenamed("key", key)
 
 
 def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -128,7 +128,7 @@ def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
 
     kind = docs.schema[key].dataType.simpleString()
     schema = f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, schema).withColumnRenamed("key", key)
+    return map_arrow(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), run, schema).withColumnRenamed("key", key)
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str, path: str = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")) -> DataFrame:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,3 +64,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def blocks_for(n: int, per: int) -> int:
     """How many blocks of ``per`` hold ``n`` things, one at least."""
     return max(1, -(-n // per))
+
+
+#: Rows that a Python function gets at once: what it makes of them is held in memory.
+BATCH_ROWS = 1_000
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def map_arrow(df: DataFrame, run: Callable[[Batches], Batches], schema) -> DataFrame:
+    """``mapInArrow`` in small batches; a worker gives its memory back when a task ends.
+
+    Workers live on for the next stages. Without this the allocators keep the peak of
+    every stage that they have run, beside the JVM's heap.
+    """
+
+    def bounded(batches: Batches) -> Batches:
+        yield from run(batch.slice(at, BATCH_ROWS) for batch in batches for at in range(0, batch.num_rows, BATCH_ROWS))
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+
+    return df.mapInArrow(bounded, schema)

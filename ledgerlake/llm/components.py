@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import cut
+from ledgerlake.llm.common import cut, map_arrow
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -51,7 +51,7 @@ def components(edges: DataFrame) -> DataFrame:
     to the shared folder. Nodes without an edge to another node don't appear.
     """
     edges = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).filter("u is not null and v is not null and u <> v")
-    edges = cut(edges.mapInArrow(_contracted, "u long, v long").distinct(), "edges")
+    edges = cut(map_arrow(edges, _contracted, "u long, v long").distinct(), "edges")
     mark = None
     while mark != (now := _mark(edges)):  # v < u in every edge
         mark = now

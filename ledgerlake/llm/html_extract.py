@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import table
+from ledgerlake.llm.common import map_arrow, table
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -319,7 +319,7 @@ def fit(pages: DataFrame, page: str = "html", train_pages: int = TRAIN_PAGES) ->
                 [pa.array([m for m, _ in found], pa.float64()), pa.array([f for _, f in found], pa.list_(pa.float64()))], ["mark", "features"]
             )
 
-    taught = rows.mapInArrow(featured, "mark double, features array<double>").toArrow()
+    taught = map_arrow(rows, featured, "mark double, features array<double>").toArrow()
     y = (taught["mark"].to_numpy() > 0).astype(float)
     if len(np.unique(y)) < 2:
         return UNTAUGHT
@@ -348,7 +348,7 @@ def extract(pages: DataFrame, weights: np.ndarray, page: str = "html", keep: tup
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(texts, pa.string()), n], [*keep, "text", "n_chars"])
 
     kinds = ", ".join(f"{c} {pages.schema[c].dataType.simpleString()}" for c in keep)
-    return pages.select(page, *keep).mapInArrow(run, f"{kinds}, text string, n_chars long")
+    return map_arrow(pages.select(page, *keep), run, f"{kinds}, text string, n_chars long")
 
 
 def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import table
+from ledgerlake.llm.common import map_arrow, table
 
 ORDERS = (3, 4)
 SLOTS = 1 << 21
@@ -128,7 +128,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", train_docs:
                     [pa.array([name] * len(h)), pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], ["lang", "gram", "docs"]
                 )
 
-    sums = rows.mapInArrow(counted, "lang string, gram long, docs long").groupBy("lang", "gram").agg(F.sum("docs").alias("docs"))
+    sums = map_arrow(rows, counted, "lang string, gram long, docs long").groupBy("lang", "gram").agg(F.sum("docs").alias("docs"))
     found = sums.filter(F.col("docs") >= LEAST_DOCS).toPandas()
     totals = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(totals)
@@ -158,7 +158,7 @@ def predict(docs: DataFrame, filters: LanguageFilters, key: str = "doc_id", text
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, lang_pred string, score double").withColumnRenamed("key", key)
+    return map_arrow(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), run, f"key {kind}, lang_pred string, score double").withColumnRenamed("key", key)
 
 
 def held_out(doc_id: Column) -> Column:

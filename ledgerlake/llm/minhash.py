@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import cut, small, table
+from ledgerlake.llm.common import cut, map_arrow, small, table
 from ledgerlake.llm.components import components
 
 WORDS = 5
@@ -44,7 +44,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 class Shingler:
     """Sorted distinct 64-bit hashes of a text's word shingles."""
 
-    def __init__(self, words: int = WORDS, most: int = 500_000):
+    def __init__(self, words: int = WORDS, most: int = 150_000):
         self.words, self.most, self.known = words, most, {}
 
     def __call__(self, text: str | None) -> np.ndarray:
@@ -108,7 +108,7 @@ def _signed(docs: DataFrame, key: str, text: str, words: int, k: int) -> DataFra
                 ["id", "n_shingles", "h", "sig"],
             )
 
-    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(run, "id long, n_shingles long, h binary, sig array<int>")
+    return map_arrow(docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")), run, "id long, n_shingles long, h binary, sig array<int>")
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -195,7 +195,7 @@ def candidate_edges(reps: DataFrame, similarity: float, k: int = COORDINATES) ->
             if labels.edges:
                 yield _edges(labels.edges)
 
-    return dealt.select("pair", "i", "j", "id", "n_shingles", "sig").mapInArrow(run, "a long, b long")
+    return map_arrow(dealt.select("pair", "i", "j", "id", "n_shingles", "sig"), run, "a long, b long")
 
 
 def confirmed_edges(docs: DataFrame, groups: DataFrame, percent: int, key: str, text: str, words: int) -> DataFrame:
@@ -213,7 +213,7 @@ def confirmed_edges(docs: DataFrame, groups: DataFrame, percent: int, key: str,
             sets = pa.array([of(t.as_py()).tobytes() for t in batch.column(3)], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], sets], ["id", "root", "blocks", "set"])
 
-    sets = rows.select("id", "root", "blocks", "text").mapInArrow(shingled, "id long, root long, blocks long, set binary")
+    sets = map_arrow(rows.select("id", "root", "blocks", "text"), shingled, "id long, root long, blocks long, set binary")
     dealt = _pairs_of_blocks(sets, F.col("blocks"), "root")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,7 +245,7 @@ def confirmed_edges(docs: DataFrame, groups: DataFrame, percent: int, key: str,
             if labels.edges:
                 yield _edges(labels.edges)
 
-    return dealt.select("root", "i", "j", "id", "set").mapInArrow(run, "a long, b long")
+    return map_arrow(dealt.select("root", "i", "j", "id", "set"), run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: str = "text", words: int = WORDS, k: int = COORDINATES) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.bpe import encode, encoding
-from ledgerlake.llm.common import blocks_for, cut, table
+from ledgerlake.llm.common import blocks_for, cut, map_arrow, table
 
 WINDOW = 1024
 #: One packer sees about so many documents; packers work side by side.
@@ -124,7 +124,7 @@ def _pieces(docs: DataFrame, path: str, size: int, key: str, text: str, keep_ids
             yield pa.RecordBatch.from_arrays(out, names)
 
     schema = f"key {docs.schema[key].dataType.simpleString()}, {_PIECES}" + ", ids array<int>" * keep_ids
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return map_arrow(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), run, schema)
 
 
 def pack(
@@ -181,7 +181,7 @@ def pack(
             yield from packed(lane, rows)
 
     schema = f"key {docs.schema[key].dataType.simpleString()}, {_PIECES}" + ", ids array<int>" * keep_ids + ", sequence_id long, offset long"
-    return dealt.mapInArrow(run, schema).withColumnRenamed("key", key)
+    return map_arrow(dealt, run, schema).withColumnRenamed("key", key)
 
 
 def padding(packed: DataFrame, size: int = WINDOW) -> DataFrame:

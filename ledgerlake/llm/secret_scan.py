@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import table
+from ledgerlake.llm.common import map_arrow, table
 
 KINDS = ("assign", "access", "hex")
 _ASSIGN = re.compile(
@@ -288,7 +288,7 @@ def secret_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], ["key", "found"])
 
     key_type = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(scanned, f"key {key_type}, found {_SPAN}").withColumnRenamed("key", key)
+    return map_arrow(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), scanned, f"key {key_type}, found {_SPAN}").withColumnRenamed("key", key)
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -300,7 +300,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
             new = pa.array([redacted(t.as_py()) for t in batch.column(at)], batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays([new if i == at else c for i, c in enumerate(batch.columns)], schema=batch.schema)
 
-    return docs.mapInArrow(cleaned, docs.schema)
+    return map_arrow(docs, cleaned, docs.schema)
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import blocks_for, table
+from ledgerlake.llm.common import blocks_for, map_arrow, table
 
 K = 5
 VECTORS, QUERIES = 8192, 1024
@@ -175,7 +175,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, block: int = VECTO
         if ids:
             yield from answered(ids, vs, kinds)
 
-    best = dealt.mapInArrow(run, "query_id long, vec_id long, score long")
+    best = map_arrow(dealt, run, "query_id long, vec_id long, score long")
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

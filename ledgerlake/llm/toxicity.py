@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import table
+from ledgerlake.llm.common import map_arrow, table
 
 #: The chain: what ``labels`` knows about a document, in this order.
 CHAIN = ("low_quality", "toxic")
@@ -47,7 +47,7 @@ def _of_token(token: str) -> tuple[int, ...]:
 class Featuriser:
     """Distinct features of a whole text; a bounded memory of tokens seen before."""
 
-    def __init__(self, wanted: frozenset[int] | None = None, most: int = 200_000):
+    def __init__(self, wanted: frozenset[int] | None = None, most: int = 100_000):
         self.wanted, self.most, self.known = wanted, most, {}
 
     def __call__(self, text: str | None) -> set[int]:
@@ -155,7 +155,7 @@ def fit(labelled: DataFrame, text: str, categories: list[tuple[str, Column]], tr
             fold = pa.array([zlib.crc32(t.as_py().encode("utf-8", "surrogatepass")) % folds for t in batch.column(0)], pa.int64())
             yield pa.RecordBatch.from_arrays([found, fold, *batch.columns[1:]], ["features", "fold", *names])
 
-    taught = rows.mapInArrow(featured, "features array<long>, fold long, " + ", ".join(f"{n} double" for n in names)).toArrow()
+    taught = map_arrow(rows, featured, "features array<long>, fold long, " + ", ".join(f"{n} double" for n in names)).toArrow()
     order = np.lexsort([taught[n].to_numpy() for n in ("fold", *names)])
     features = taught["features"].combine_chunks()
     docs = _Rows([features[i].values.to_numpy().astype(np.int64) for i in order])
@@ -183,7 +183,7 @@ def predict(docs: DataFrame, models: list[tuple[str, Linear]], key: str = "doc_i
     """
     kind = docs.schema[key].dataType.simpleString()
     schema = f"key {kind}, " + ", ".join(f"p_{c} double" for c, _ in models)
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(_scorer(models, lambda b: [b.column(0)], 1), schema).withColumnRenamed("key", key)
+    return map_arrow(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), _scorer(models, lambda b: [b.column(0)], 1), schema).withColumnRenamed("key", key)
 
 
 def _scorer(models: list[tuple[str, Linear]], first, at: int):
@@ -211,7 +211,7 @@ def with_probabilities(docs: DataFrame, models: list[tuple[str, Linear]], text:
     from pyspark.sql.types import DoubleType, StructField, StructType
 
     schema = StructType([*docs.schema.fields, *(StructField(f"{prefix}{c}", DoubleType()) for c, _ in models)])
-    return docs.mapInArrow(_scorer(models, lambda b: list(b.columns), docs.columns.index(text)), schema)
+    return map_arrow(docs, _scorer(models, lambda b: list(b.columns), docs.columns.index(text)), schema)
 
 
 def labelled_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
