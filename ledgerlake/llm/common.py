@@ -68,6 +68,7 @@ def blocks_for(n: int, per: int) -> int:
 
 #: Rows that a Python function gets at once: what it makes of them is held in memory.
 BATCH_ROWS = 1_000
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -76,8 +77,13 @@ def map_arrow(df: DataFrame, run: Callable[[Batches], Batches], schema) -> DataF
     """``mapInArrow`` in small batches; a worker gives its memory back when a task ends.
 
     Workers live on for the next stages. Without this the allocators keep the peak of
-    every stage that they have run, beside the JVM's heap.
+    every stage that they have run, beside the JVM's heap. The session's Arrow batches
+    are lowered to the same size if they are larger, as they are held outside the heap
+    on one side and in the worker on the other.
     """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(ARROW_ROWS)) <= BATCH_ROWS:
+        conf.set(ARROW_ROWS, str(BATCH_ROWS))
 
     def bounded(batches: Batches) -> Batches:
         yield from run(batch.slice(at, BATCH_ROWS) for batch in batches for at in range(0, batch.num_rows, BATCH_ROWS))
