@@ -666,3 +666,70 @@ def q45_set_equality_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What keeps two sets of ids from being equal, on either side."""
     d, k = table(spark, sf_dir, "documents").select("doc_id"), table(spark, sf_dir, "labels").select("doc_id")
     return d.join(k, "doc_id", "left_anti").withColumn("side", F.lit("unlabelled")).unionByName(k.join(d, "doc_id", "left_anti").withColumn("side", F.lit("unknown")))
+
+
+@query(None)
+def q46_shard_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as canonical shards: a row per shard of the layout, without its lines."""
+    from ledgerlake.operators import sharding
+
+    raw = table(spark, sf_dir, "documents").select(F.to_json(F.struct(F.col("doc_id").alias("id"), "lang", "source", "text")).alias("raw"))
+    records = cut(sharding.prepare(raw, "raw", "id", "ledgerlake").filter(F.col("error").isNull()), "records")
+    limits = sharding.Limits()
+    lines = sharding.physical_lines(records, limits, "ledgerlake")
+    return sharding.shard_entries(sharding.layout(sharding.ordered(lines, "key", "body", "part"), limits))
+
+
+_EVENT_CONTRACT = {
+    "type": "object",
+    "required": ["schemaVersion", "k"],
+    "additionalProperties": False,
+    "properties": {"schemaVersion": {"const": "event/v1"}, "k": {"type": "integer", "minimum": 0, "maximum": 50}},
+}
+
+
+@query("SELECT event_id, '/k' AS path, 'MAXIMUM' AS code FROM events WHERE CAST(json_extract_string(props, '/k') AS BIGINT) > 50")
+def q47_contract_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Violations of a closed, versioned contract: where and of what kind, no values."""
+    from ledgerlake.operators.contracts import contract_findings
+
+    versioned = F.concat(F.lit('{"schemaVersion":"event/v1",'), F.substring("props", 2, 2_000_000_000))
+    docs = table(spark, sf_dir, "events").select("event_id", versioned.alias("raw"))
+    return contract_findings(docs, "event_id", "raw", {"event/v1": _EVENT_CONTRACT})
+
+
+@query("""
+WITH w AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS p FROM orders)
+SELECT CAST(r.o_orderkey AS VARCHAR) AS subject, 'REVIEW_TIME_ORDER' AS code FROM w r JOIN w b ON r.p = b.o_orderkey WHERE NOT r.o_totalprice > b.o_totalprice
+UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'REVIEW_HEADS' FROM w a WHERE NOT EXISTS (SELECT 1 FROM w b WHERE b.p = a.o_orderkey) AND o_orderstatus <> 'F'
+""")
+def q48_supersession_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as reviews that supersede each other; those with status F are the declared heads."""
+    from ledgerlake.operators import trust
+
+    before = F.lag("o_orderkey").over(Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey"))
+    receipts = cut(
+        table(spark, sf_dir, "orders").select(
+            F.col("o_orderkey").cast("string").alias("review_id"), before.cast("string").alias("predecessor"), F.col("o_custkey").alias("scope"),
+            F.col("o_totalprice").alias("reviewed_at"), F.lit("approve").alias("disposition"), F.col("o_orderstatus").alias("status"),
+        ),
+        "receipts",
+    )
+    latest = receipts.join(receipts.select(F.col("predecessor").alias("review_id")), "review_id", "left_anti")
+    return trust.supersession(receipts.drop("status"), latest.filter("status = 'F'").select("review_id"))
+
+
+@query("""
+SELECT user_id AS agent_id, CAST(count(*) AS INTEGER) AS ticks, CAST(floor(epoch(max(ts))) - floor(epoch(min(ts))) AS BIGINT) AS duration_seconds,
+       string_agg(event_type, ',' ORDER BY f, e) FILTER (event_id = e) AS first_seen
+FROM (SELECT *, min(ts) OVER w AS f, arg_min(event_id, struct_pack(a := ts, b := event_id)) OVER w AS e FROM events WINDOW w AS (PARTITION BY user_id, event_type)) GROUP BY 1
+""")
+def q49_lifetimes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lifetimes from ticks: length, duration, and actions in order of first sight."""
+    from ledgerlake.plans.datasets import lifetimes
+
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    ticks = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("agent_id"), F.row_number().over(w).alias("sequence"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("action"), F.col("event_type").alias("world")
+    )
+    return lifetimes(ticks).select("agent_id", "ticks", "duration_seconds", F.array_join("worlds_visited", ",").alias("first_seen"))
