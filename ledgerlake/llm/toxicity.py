@@ -84,9 +84,9 @@ class _Rows:
     """Documents as runs of feature columns in one array."""
 
     def __init__(self, docs: list[np.ndarray]):
-        self.names, columns = np.unique(np.concatenate(docs) if docs else np.empty(0, np.int64), return_inverse=True)
-        self.sizes = np.array([len(d) for d in docs], np.int64)
-        self.columns, self.row = columns, np.repeat(np.arange(len(docs)), self.sizes)
+        self.names, columns = np.unique(np.concatenate(docs) if docs else np.empty(0, np.uint32), return_inverse=True)
+        self.columns = columns.astype(np.int32)
+        self.row = np.repeat(np.arange(len(docs), dtype=np.int32), [len(d) for d in docs])
         self.n = len(docs)
 
 
@@ -158,12 +158,16 @@ def fit(labelled: DataFrame, text: str, categories: list[tuple[str, Column]], tr
     taught = map_arrow(rows, featured, "features array<long>, fold long, " + ", ".join(f"{n} double" for n in names)).toArrow()
     order = np.lexsort([taught[n].to_numpy() for n in ("fold", *names)])
     features = taught["features"].combine_chunks()
-    docs = _Rows([features[i].values.to_numpy().astype(np.int64) for i in order])
+    # hashes are 32 bits; the driver holds them as such
+    docs = _Rows([features[i].values.to_numpy().astype(np.uint32) for i in order])
     fold = taught["fold"].to_numpy()[order]
+    labels = {n: taught[n].to_numpy()[order] for n in names}
+    del features, taught
+    pa.default_memory_pool().release_unused()
     earlier = np.zeros((docs.n, 0))
     models = []
     for name, (category, _) in zip(names, categories, strict=True):
-        y = taught[name].to_numpy()[order]
+        y = labels[name]
         model, _ = _fit(docs, np.ones(docs.n, bool), y, earlier)
         models.append((category, model))
         out_of_fold = np.zeros(docs.n)
