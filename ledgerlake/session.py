@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +24,25 @@ def session(app: str = "ledgerlake", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application: Python functions are
+    loaded there by name, and it needn't be installed on their machines."""
+    sc = spark.sparkContext
+    if getattr(sc, "ledgerlake_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    if not root.is_dir():  # imported from an archive that has been sent already
+        return
+    path = Path(tempfile.mkdtemp(prefix="ledgerlake-")) / "ledgerlake.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(path))
+    sc.ledgerlake_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
