@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.session import ship
+
 SHARED_DIR = "spark.checkpoint.dir"
 
 #: A side of a join is broadcast only if it has at most so many narrow rows
@@ -58,6 +60,7 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -81,6 +84,7 @@ def map_arrow(df: DataFrame, run: Callable[[Batches], Batches], schema) -> DataF
     are lowered to the same size if they are larger, as they are held outside the heap
     on one side and in the worker on the other.
     """
+    ship(df.sparkSession)
     conf = df.sparkSession.conf
     if not 0 < int(conf.get(ARROW_ROWS)) <= BATCH_ROWS:
         conf.set(ARROW_ROWS, str(BATCH_ROWS))
