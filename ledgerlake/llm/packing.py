@@ -23,6 +23,8 @@ from ledgerlake.llm.common import blocks_for, cut, map_arrow, table
 WINDOW = 1024
 #: One packer sees about so many documents; packers work side by side.
 LANE = 16384
+#: Sequences of one whole window are numbered from here, those of packers below it.
+ALONE = 1 << 62
 END = 0
 
 
@@ -139,16 +141,20 @@ def pack(
 
     A document is its ids and then id 0; null and empty texts are that one id. It
     is cut every ``size`` ids: whole windows stand alone and the rest is placed by
-    ``LevelPacker``, among about ``LANE`` documents that share its hash (a task
-    holds the rows of one such lane, never more). Returns
+    ``LevelPacker``, among about ``LANE`` others. Rows are dealt to lanes by a number
+    written with them, not by ``key``, so a task holds one lane's rests and no more,
+    also where a third of all rows have one key or none. Returns
     ``key``, start, length, ids_crc32, doc_tokens, sequence_id and offset (and the
     ids of the piece with ``keep_ids``). Repeated rows are packed each; an empty
     table gives an empty result; other columns of ``docs`` are not read.
     """
-    made = cut(_pieces(docs, path, size, key, text, keep_ids), "pieces")
-    lanes = blocks_for(made.filter(F.col("length") < size).count(), LANE)
-    lane = F.pmod(F.xxhash64("key", F.when(F.col("length") == size, F.col("start"))), F.lit(lanes))
-    dealt = made.withColumn("lane", lane).repartition("lane").sortWithinPartitions("lane", "key", "start", "doc_tokens", "ids_crc32")
+    made = _pieces(docs, path, size, key, text, keep_ids).withColumn("row", F.monotonically_increasing_id())
+    made = cut(made, "pieces")
+    rests = made.filter(F.col("length") < size)
+    lane = F.pmod(F.xxhash64("row"), F.lit(blocks_for(rests.count(), LANE)))
+    dealt = rests.withColumn("lane", lane).repartition("lane").sortWithinPartitions("lane", "key", "start", "doc_tokens", "ids_crc32", "row").drop("row")
+    # whole windows are full as they are, and aren't shuffled
+    alone = made.filter(F.col("length") == size).withColumn("sequence_id", F.col("row") + F.lit(ALONE)).withColumn("offset", F.lit(0).cast("long"))
 
     def packed(lane: int, rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = LevelPacker(size)
@@ -181,7 +187,7 @@ def pack(
             yield from packed(lane, rows)
 
     schema = f"key {docs.schema[key].dataType.simpleString()}, {_PIECES}" + ", ids array<int>" * keep_ids + ", sequence_id long, offset long"
-    return map_arrow(dealt, run, schema).withColumnRenamed("key", key)
+    return map_arrow(dealt, run, schema).unionByName(alone.drop("row")).withColumnRenamed("key", key)
 
 
 def padding(packed: DataFrame, size: int = WINDOW) -> DataFrame:

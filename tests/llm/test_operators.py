@@ -445,3 +445,14 @@ def test_broken_markup_ends_soon():
     for page in ("<" * 20_000, "<a b='" * 5_000, "<p " + "x=\"" * 5_000, "<div>" * 3_000 + "x", "<script>never closed", "a < b & c &lt; d"):
         html_extract.main_text(page)
     assert html_extract.main_text("<article><p>a < b &amp;amp; c</article>") == "a < b &amp; c"
+
+
+def test_packing_deals_a_hot_key_to_several_lanes(spark, monkeypatch):
+    monkeypatch.setattr(packing, "LANE", 8)
+    rows = [(None, "same text"), (None, None)] * 40 + [(i, "w " * 1500) for i in range(5)]
+    packed = packing.pack(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    lanes = {r.sequence_id >> 40 for r in packed if r.doc_id is None}
+    assert len(packed) == 80 + 5 * 2 and len(lanes) > 5
+    whole = [r for r in packed if r.length == 1024]
+    assert len({r.sequence_id for r in whole}) == 5 and {r.offset for r in whole} == {0}
+    assert not {r.sequence_id for r in whole} & {r.sequence_id for r in packed if r.length < 1024}
