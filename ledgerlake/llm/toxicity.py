@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import map_arrow, table
+from ledgerlake.llm.common import cut, map_arrow, small, table
 
 #: The chain: what ``labels`` knows about a document, in this order.
 CHAIN = ("low_quality", "toxic")
@@ -227,11 +227,13 @@ def labelled_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 def fit_labels(documents: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> list[tuple[str, Linear]]:
     """The chain ``CHAIN`` from the labels. Where there are many more labels than
-    ``train_docs``, they are thinned by their doc_id's hash before the join."""
+    ``train_docs``, they are thinned by their doc_id's hash before the join; what is left
+    is written and, being counted to be small, broadcast, so no text is shuffled."""
+    labels = labels.select("doc_id", "quality", "toxic")
     n = labels.count()
     if n > train_docs:
         labels = labels.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < round(1_000_000 * train_docs / n))
-    rows = labelled_documents(documents, labels)
+    rows = labelled_documents(documents, small(cut(labels, "labels")))
     return fit(rows, "text", [(CHAIN[0], F.col("quality") == 0), (CHAIN[1], F.col("toxic") == 1)], train_docs)
 
 
