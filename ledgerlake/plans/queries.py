@@ -733,3 +733,57 @@ def q49_lifetimes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").alias("agent_id"), F.row_number().over(w).alias("sequence"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("action"), F.col("event_type").alias("world")
     )
     return lifetimes(ticks).select("agent_id", "ticks", "duration_seconds", F.array_join("worlds_visited", ",").alias("first_seen"))
+
+
+_RECORD_POLICY = {
+    "namespace": "ledgerlake",
+    "publication": {"policyVersion": "1", "licenses": {"data": "D", "code": "C"}},
+    "sources": {"allowedRightsBases": {"synthetic": {"sourceTypes": ["deterministic-synthetic"]}}, "allowedRepositories": []},
+    "rights": {"statements": {"s": {"rightsBasis": "synthetic", "sourceTypes": ["deterministic-synthetic"], "statement": "Made here."}}},
+    "safety": {"requiredPrivacyLabel": "nobody", "requiredSafetyStatus": "pass", "allowedSafetyLabels": ["none"]},
+    "quality": {
+        "recordThresholds": {"status": "pass", "verifierPassed": True, "minimumScore": 0.9},
+        "requiredContaminationLabels": ["en", "de", "fr"], "requiredPublicExposureLabel": "public", "requiredEvaluationUseLabel": "unclean",
+    },
+    "fields": {"requiredRecordSections": ["schemaVersion", "payload", "integrity"]},
+    "withdrawal": {},
+}
+
+
+@query("""
+WITH d AS (SELECT doc_id, lang, n_chars, quality, l.doc_id IS NOT NULL AS labelled FROM documents LEFT JOIN labels l USING (doc_id))
+SELECT doc_id, 'RECORD_SEQUENCE' AS code FROM d WHERE n_chars < 200
+UNION ALL SELECT doc_id, 'RECORD_SPLIT' FROM d WHERE n_chars > 5000
+UNION ALL SELECT doc_id, 'CONTAMINATION_LABEL' FROM d WHERE lang IS NULL OR lang NOT IN ('en', 'de', 'fr')
+UNION ALL SELECT doc_id, 'RECORD_QUALITY' FROM d WHERE quality IS NULL OR quality = 0
+UNION ALL SELECT doc_id, 'PAYLOAD_HASH' FROM d WHERE lang = 'de'
+UNION ALL SELECT doc_id, 'SOURCE_GENERATOR_COMMIT' FROM d WHERE n_chars BETWEEN 200 AND 299
+UNION ALL SELECT doc_id, 'REASONING_LAYER_UNRESOLVED' FROM d WHERE NOT labelled
+""")
+def q50_record_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as public records under a policy: labels give their quality and their stored transcripts."""
+    from ledgerlake.operators.publication import Policy, record_findings
+
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", F.lit(True).alias("labelled"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars").join(labels, "doc_id", "left")
+    n, lit = F.col("n_chars"), lambda v, name: F.lit(v).alias(name)
+    key = F.sha2(F.col("doc_id").cast("string"), 256)
+    payload = F.concat(F.lit('{"n":'), n.cast("string"), F.lit("}"))
+    source = F.struct(
+        lit("deterministic-synthetic", "type"), lit("urn:ledgerlake:synthetic:documents", "sourceId"), F.when(n.between(200, 299), "none").otherwise("a" * 40).alias("generatorCommit")
+    )
+    labelled = lambda value, name: F.struct(value.alias("label")).alias(name)
+    record = F.struct(
+        lit("ledgerlake.public-record/v1", "schemaVersion"), lit("d01-documents", "datasetId"), lit("document", "recordType"), F.concat(F.lit("urn:ledgerlake:record:sha256:"), key).alias("recordId"),
+        lit("one", "episodeId"), (n - 200).alias("sequence"), F.when(n > 5000, "long").otherwise("train").alias("split"), lit("2024-01-01T00:00:00Z", "eventTime"), F.struct(n.alias("n")).alias("payload"),
+        F.struct(lit("synthetic", "rightsBasis"), lit("s", "rightsStatementId"), lit("Made here.", "rightsStatement"), F.array(source).alias("sources")).alias("provenance"),
+        F.struct(F.concat(F.lit("sha256:"), key).alias("transcriptRef"), F.concat(F.lit("sha256:"), key).alias("deliberationRef")).alias("generation"),
+        F.struct(
+            lit("D", "license"), lit("nobody", "privacy"), lit("pass", "safetyStatus"), F.array(F.lit("none")).alias("safetyLabels"), labelled(F.col("lang"), "contamination"), labelled(F.lit("public"), "publicExposure"),
+            lit("unclean", "evaluationUse"), F.struct(lit("pass", "status"), lit(True, "verifierPassed"), F.col("quality").cast("double").alias("score")).alias("quality"),
+        ).alias("governance"),
+        F.struct(F.when(F.col("lang") == "de", key).otherwise(F.sha2(payload, 256)).alias("payloadSha256"), key.alias("recordSha256")).alias("integrity"),
+    )
+    records = d.select(F.col("doc_id").alias("path"), F.lit(0).alias("line"), F.to_json(record).alias("json"))
+    stored = labels.select(F.explode(F.array(F.lit("visible-transcript"), F.lit("public-deliberation"))).alias("role"), F.sha2(F.col("doc_id").cast("string"), 256).alias("sha256"))
+    return record_findings(records, stored, Policy(**_RECORD_POLICY)).select(F.col("path").alias("doc_id"), "code")
