@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,25 +26,30 @@ def encoding(path: str, pattern: str = public_tokenizers.PATTERN) -> tiktoken.En
     """The encoding of a rank file (``.tiktoken``), or of a byte-level BPE
     vocabulary (``.json``) whose ids are in the order of its merges.
 
-    Special tokens are none: their strings in a text are ordinary text.
+    Special tokens are the added tokens of a vocabulary; a rank file has none, and
+    their strings in a text are then ordinary text.
     """
+    special: dict[str, int] = {}
     if path.endswith(".json"):
-        ranks = _json_ranks(path)
+        ranks, special = _json_ranks(path)
     else:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-    return tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
 
-def _json_ranks(path: str) -> dict[bytes, int]:
-    """token bytes: id. Printable characters stand for their own byte, the rest
-    of the 256 bytes, in order, for the characters from U+0100."""
+def _json_ranks(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
+    """token bytes: id, and added token: id. Printable characters stand for their own
+    byte, the rest of the 256 bytes, in order, for the characters from U+0100."""
     with open(path, encoding="utf-8") as f:
         file = json.load(f)
     plain = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     byte = {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(sorted(set(range(256)) - set(plain)))}
-    special = {t["content"] for t in file.get("added_tokens", [])}
-    return {bytes(byte[c] for c in token): i for token, i in file["model"]["vocab"].items() if token not in special}
+    added = file.get("added_tokens", [])
+    if any(t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError(f"{path}: an added token isn't matched as it stands")
+    special = {t["content"]: t["id"] for t in added}
+    return {bytes(byte[c] for c in token): i for token, i in file["model"]["vocab"].items() if token not in special}, special
 
 
 def pieces(text: str, size: int = PIECE) -> Iterator[str]:
@@ -70,9 +76,21 @@ def pieces(text: str, size: int = PIECE) -> Iterator[str]:
 
 
 def encode(text: str | None, bpe: tiktoken.Encoding) -> list[int]:
-    """The ids of ``text``; null has none, like the empty text."""
+    """The ids of ``text``; null has none, like the empty text.
+
+    A special token is its id wherever it stands, the longest where several begin,
+    and the texts around it are encoded each on its own.
+    """
     if not text:
         return []
+    special = [t for t in bpe.special_tokens_set if t in text]
+    if special:
+        parts = re.split(f"({'|'.join(map(re.escape, sorted(special, key=len, reverse=True)))})", text)
+        return [i for n, part in enumerate(parts) for i in ([bpe.encode_single_token(part)] if n % 2 else _ordinary(part, bpe))]
+    return _ordinary(text, bpe)
+
+
+def _ordinary(text: str, bpe: tiktoken.Encoding) -> list[int]:
     if len(text) <= PIECE:
         return bpe.encode_ordinary(text)
     return [i for piece in pieces(text) for i in bpe.encode_ordinary(piece)]

@@ -120,6 +120,21 @@ def test_every_id_is_in_one_piece_and_windows_are_gapless(spark):
     assert packing.pack(docs_of(spark, []), path).count() == 0
 
 
+def test_added_tokens_of_the_vocabulary_have_their_ids(spark):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t, end = Tokenizer.from_file(path), "<|endoftext|>"
+    texts = [f"hello {end} world", end, end * 3, f"  {end}\n\n a", "<|endoftext|", f"é{end}'s", "word " * 20_000 + end + " word" * 20_000]
+    packed = packing.pack(docs_of(spark, texts), path, keep_ids=True).collect()
+    for i, text in enumerate(texts):
+        own = sorted((r for r in packed if r.doc_id == i), key=lambda r: r.start)
+        assert [x for r in own for x in r.ids] == t.encode(text, add_special_tokens=False).ids + [0]
+    e = bpe.encoding(path)
+    assert bpe.encode(texts[0], e) == [31373, 220, 50256, 995]
+    assert all(e.decode(bpe.encode(text, e)) == text for text in texts)
+
+
 def test_level_packer_places_where_the_sum_of_squares_is_least():
     random.seed(2)
     packer = packing.LevelPacker(16)
