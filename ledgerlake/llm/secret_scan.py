@@ -48,8 +48,9 @@ _MAYBE_ESCAPE = re.compile(
     r"[\\&\u00aa\u00ad\u00b2\u00b3\u00b9\u00ba\u200b-\u200d\u2060-\u24ff\ufeff\uff01-\uff5e\U0001d400-\U0001d7ff]"
 )
 #: The shortest secret is 14 bytes (``token=12345678``), 19 characters of base64.
-#: Lines of 64 or 76 characters may be followed by more of the same token.
-_BASE64 = re.compile(r"(?:[A-Za-z0-9+/]{76}\r?\n|[A-Za-z0-9+/]{64}\r?\n)*[A-Za-z0-9+/_-]{19,}")
+LEAST = 19
+_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{19,}")
+_OF_BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 _URLSAFE = str.maketrans("-_", "+/")
 #: A compressed layer is read up to so many bytes: a bomb can't fill the memory.
 MAX_LAYER_BYTES = 64 << 20
@@ -167,51 +168,90 @@ def _unescape(m: re.Match, layer: _Layer) -> _Layer | None:
     return _whole(m, layer, unicodedata.normalize("NFKC", m[7]))
 
 
-def _inflate(data: bytes) -> bytes | None:
-    """The first compressed layer of ``data``, or None if it isn't compressed."""
+def _inflate(data: bytes) -> tuple[bytes, int] | None:
+    """The first compressed layer of ``data`` and where it ends, or None if it isn't compressed."""
     try:
         if data[:2] == b"\x1f\x8b":
-            return zlib.decompressobj(31).decompress(data, MAX_LAYER_BYTES)
-        if data[:1] == b"\x78" and len(data) > 6 and (data[0] << 8 | data[1]) % 31 == 0:
-            return zlib.decompressobj().decompress(data, MAX_LAYER_BYTES)
-        if data[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(data, MAX_LAYER_BYTES)
-        if data[:6] == b"\xfd7zXZ\x00":
-            return lzma.LZMADecompressor().decompress(data, MAX_LAYER_BYTES)
+            d, out = (d := zlib.decompressobj(31)), d.decompress(data, MAX_LAYER_BYTES)
+        elif data[:1] == b"\x78" and len(data) > 6 and (data[0] << 8 | data[1]) % 31 == 0:
+            d, out = (d := zlib.decompressobj()), d.decompress(data, MAX_LAYER_BYTES)
+        elif data[:3] == b"BZh":
+            d, out = (d := bz2.BZ2Decompressor()), d.decompress(data, MAX_LAYER_BYTES)
+        elif data[:6] == b"\xfd7zXZ\x00":
+            d, out = (d := lzma.LZMADecompressor()), d.decompress(data, MAX_LAYER_BYTES)
+        else:
+            return None
     except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
         return None
-    return None
+    return out, len(data) - len(d.unused_data)
 
 
-def _unbase64(token: str, start: int, layer: _Layer) -> list[_Layer]:
+def _runs(text: str) -> Iterator[list[tuple[int, str]]]:
+    """(start, characters) of the lines that a base64 token may be wrapped over.
+
+    All lines between the first and the last hold nothing else.
+    """
+    run: list[tuple[int, str]] = []
+    at = 0
+    for line in text.split("\n"):
+        end = line.removesuffix("\r")
+        if run:
+            head = len(end) - len(end.lstrip(_OF_BASE64))
+            if head:
+                run.append((at, end[:head]))
+            if not head or head < len(end):
+                if len(run) > 1:
+                    yield run
+                run = []
+        if not run and (tail := end[len(end.rstrip(_OF_BASE64)) :]):
+            run = [(at + len(end) - len(tail), tail)]
+        at += len(line) + 1
+    if len(run) > 1:
+        yield run
+
+
+def _wrapped(run: list[tuple[int, str]]) -> Iterator[list[tuple[int, str]]]:
+    """Lines of one width and the line after them, of any length."""
+    i = 0
+    while i < len(run) - 1:
+        j = i + 1
+        while j < len(run) and len(run[j][1]) == len(run[i][1]):
+            j += 1
+        lines = run[i : j + 1]
+        if sum(len(t) for _, t in lines) >= LEAST:
+            yield lines
+        i = j
+
+
+def _unbase64(token: str, keep: np.ndarray, layer: _Layer) -> list[_Layer]:
     """What a base64 token may hold, for each place where its text may begin.
+    ``keep`` are the places of its characters in ``layer``.
 
     A token can be glued to letters before it; only the first offset that gives
     text or compressed bytes is right, and usually that is 0.
     """
-    keep = np.array([i for i, c in enumerate(token) if c not in "\r\n"]) if "\n" in token else np.arange(len(token))
-    clean = token.replace("\r", "").replace("\n", "").translate(_URLSAFE)
+    clean = token.translate(_URLSAFE)
     for offset in range(4):
         body = clean[offset:]
         body = body[: len(body) - (len(body) % 4 == 1)]
-        if len(body) < 19:
+        if len(body) < LEAST:
             break
         data = base64.b64decode(body + "=" * (-len(body) % 4))
         n = len(data)
-        first = start + keep[offset + np.arange(n) * 8 // 6]
-        last = start + keep[offset + (np.arange(n) * 8 + 7) // 6]
+        first = keep[offset + np.arange(n) * 8 // 6]
+        last = keep[offset + (np.arange(n) * 8 + 7) // 6]
         lo = first if layer.lo is None else layer.lo[first]
         hi = last + 1 if layer.hi is None else layer.hi[last]
-        packed = _inflate(data)
+        packed, used = _inflate(data) or (None, 0)
         seen = {data}
         while packed is not None and packed not in seen:  # gzip in gzip; a quine ends here
             seen.add(packed)
             deeper = _inflate(packed)
             if deeper is None:
-                a, b = np.full(len(packed), lo.min()), np.full(len(packed), hi.max())
+                a, b = np.full(len(packed), lo[:used].min()), np.full(len(packed), hi[:used].max())
                 inner = _from_bytes(packed, a, b)
                 return [inner] if inner else []
-            packed = deeper
+            packed = deeper[0]
         plain = _from_bytes(data, lo, hi)
         if plain is not None and plain.text.isprintable():
             return [plain]
@@ -228,8 +268,25 @@ def _unwrapped(layer: _Layer) -> Iterator[_Layer]:
     if not text.isascii() or "\\" in text or "&" in text:
         if _MAYBE_ESCAPE.search(text) and (found := _sub(layer, _ESCAPE, _unescape)):
             yield found
+    # lines that were read as part of a wrapped token; where a width isn't whole groups
+    # of four, each line may be a token of its own as well
+    read: set[int] = set()
+    for run in _runs(text) if "\n" in text else ():
+        for lines in _wrapped(run):
+            # the last line can be a word after the token: then the others are it
+            for part in (lines, lines[:-1]):
+                if len(part) < 2:
+                    break
+                keep = np.concatenate([np.arange(a, a + len(t)) for a, t in part])
+                if found := _unbase64("".join(t for _, t in part), keep, layer):
+                    yield from found
+                    width = len(part[0][1])
+                    if width % 4 == 0 and len(part[-1][1]) <= width:
+                        read.update(a for a, _ in part)
+                    break
     for m in _BASE64.finditer(text):
-        yield from _unbase64(m[0], m.start(), layer)
+        if m.start() not in read:
+            yield from _unbase64(m[0], np.arange(*m.span()), layer)
 
 
 def scan(text: str | None) -> tuple[set[tuple[str, int, int]], set[tuple[str, int, int]]]:

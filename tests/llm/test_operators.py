@@ -93,6 +93,19 @@ def test_secret_spans_of_edge_rows(spark):
     assert secret_scan.secret_spans(docs_of(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("width", [20, 60, 64, 70, 72, 76])
+def test_base64_wrapped_at_any_width_is_read_to_its_end(width):
+    rng = random.Random(14)
+    for last in range(1, width + 1):
+        for newline in ("\n", "\r\n"):
+            n = (2 * width + last) * 3 // 4
+            for body in (b"x" * (n - 21) + b" password=hunter2abcd", gzip.compress(rng.randbytes(40).hex().encode() + b" password=hunter2abcd")):
+                b64 = base64.b64encode(body).decode().rstrip("=")
+                inner = newline.join(b64[i : i + width] for i in range(0, len(b64), width))
+                found = secret_scan.scan(f"a: {inner}\n\nend")[1]
+                assert any(k == "assign" and 3 <= a and b == 3 + len(inner) for k, a, b in found), (last, body)
+
+
 # -- packing
 
 
