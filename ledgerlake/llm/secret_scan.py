@@ -50,6 +50,14 @@ _MAYBE_ESCAPE = re.compile(
 #: The shortest secret is 14 bytes (``token=12345678``), 19 characters of base64.
 LEAST = 19
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{19,}")
+#: A stretch of readable text in bytes, as UTF-8 or as ASCII in UTF-16, that can hold
+#: the shortest secret.
+_READABLE = re.compile(
+    rb"(?:[\t\n\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|\xed[\x80-\x9f][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}"
+    rb"|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){14,}+|(?:[\t\n\r\x20-\x7e]\x00){14,}+"
+)
+#: How gzip, zlib (without a preset dictionary), bz2 and xz begin.
+_PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
 _OF_BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 _URLSAFE = str.maketrans("-_", "+/")
 #: A compressed layer is read up to so many bytes: a bomb can't fill the memory.
@@ -84,6 +92,14 @@ class _Layer:
         return h.digest()
 
 
+def _is_text(data: bytes) -> bool:
+    try:
+        data.decode("utf-8")
+    except UnicodeDecodeError:
+        return len(data) >= 8 and not any(data[1:64:2]) and all(data[0:64:2])
+    return True
+
+
 def _from_bytes(data: bytes, lo: np.ndarray, hi: np.ndarray) -> _Layer | None:
     """Bytes as text, each character with the span of its bytes; None if they aren't text."""
     if len(data) >= 8 and not any(data[1:64:2]) and all(data[0:64:2]):
@@ -223,41 +239,66 @@ def _wrapped(run: list[tuple[int, str]]) -> Iterator[list[tuple[int, str]]]:
         i = j
 
 
-def _unbase64(token: str, keep: np.ndarray, layer: _Layer) -> list[_Layer]:
-    """What a base64 token may hold, for each place where its text may begin.
+def _unbase64(token: str, keep: np.ndarray, layer: _Layer) -> tuple[list[_Layer], bool]:
+    """What a base64 token may hold, and whether that is all of it as one layer.
     ``keep`` are the places of its characters in ``layer``.
 
-    A token can be glued to letters before it; only the first offset that gives
-    text or compressed bytes is right, and usually that is 0.
+    A token can be glued to other characters of its class before and after it. If no
+    place of its first four gives text or compressed bytes to the end, all readable
+    stretches and compressed streams inside are taken, in each of the four alignments.
     """
     clean = token.translate(_URLSAFE)
-    for offset in range(4):
-        body = clean[offset:]
-        body = body[: len(body) - (len(body) % 4 == 1)]
-        if len(body) < LEAST:
-            break
-        data = base64.b64decode(body + "=" * (-len(body) % 4))
-        n = len(data)
-        first = keep[offset + np.arange(n) * 8 // 6]
-        last = keep[offset + (np.arange(n) * 8 + 7) // 6]
-        lo = first if layer.lo is None else layer.lo[first]
-        hi = last + 1 if layer.hi is None else layer.hi[last]
+    decoded: list[bytes] = []
+
+    def spans(offset: int, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+        bits = 8 * np.arange(a, b)
+        first, last = keep[offset + bits // 6], keep[offset + (bits + 7) // 6]
+        return (first, last + 1) if layer.lo is None else (layer.lo[first], layer.hi[last])
+
+    def unpacked(offset: int, at: int) -> tuple[_Layer | None, int]:
+        """The text of the stream at ``at``, and where it ends."""
+        data = decoded[offset][at:]
         packed, used = _inflate(data) or (None, 0)
         seen = {data}
         while packed is not None and packed not in seen:  # gzip in gzip; a quine ends here
             seen.add(packed)
             deeper = _inflate(packed)
             if deeper is None:
-                a, b = np.full(len(packed), lo[:used].min()), np.full(len(packed), hi[:used].max())
-                inner = _from_bytes(packed, a, b)
-                return [inner] if inner else []
+                lo, hi = spans(offset, at, at + used)
+                return _from_bytes(packed, np.full(len(packed), lo.min()), np.full(len(packed), hi.max())), at + used
             packed = deeper[0]
-        plain = _from_bytes(data, lo, hi)
-        if plain is not None and plain.text.isprintable():
-            return [plain]
-        if plain is not None and sum(c.isprintable() or c in "\t\n\r" for c in plain.text) >= 0.9 * len(plain.text):
-            return [plain]
-    return []
+        return None, at
+
+    for offset in range(4):
+        body = clean[offset:]
+        body = body[: len(body) - (len(body) % 4 == 1)]
+        if len(body) < LEAST:
+            break
+        data = base64.b64decode(body + "=" * (-len(body) % 4))
+        decoded.append(data)
+        if _PACKED.match(data):
+            inner, end = unpacked(offset, 0)
+            if inner and end == len(data):
+                return [inner], True
+        plain = _from_bytes(data, *spans(offset, 0, len(data))) if _is_text(data) else None
+        if plain is not None and (plain.text.isprintable() or all(c.isprintable() or c in "\t\n\r" for c in plain.text)):
+            return [plain], True
+    found: list[_Layer] = []
+    for offset, data in enumerate(decoded):
+        if _is_text(data):
+            plain = _from_bytes(data, *spans(offset, 0, len(data)))
+            if plain is not None and sum(c.isprintable() or c in "\t\n\r" for c in plain.text) >= 0.9 * len(plain.text):
+                found.append(plain)
+        for m in _READABLE.finditer(data):
+            if (inner := _from_bytes(m[0], *spans(offset, *m.span()))) is not None:
+                found.append(inner)
+        done = 0
+        for m in _PACKED.finditer(data):
+            if m.start() >= done:
+                inner, done = unpacked(offset, m.start())
+                if inner:
+                    found.append(inner)
+    return found, False
 
 
 def _unwrapped(layer: _Layer) -> Iterator[_Layer]:
@@ -268,7 +309,7 @@ def _unwrapped(layer: _Layer) -> Iterator[_Layer]:
     if not text.isascii() or "\\" in text or "&" in text:
         if _MAYBE_ESCAPE.search(text) and (found := _sub(layer, _ESCAPE, _unescape)):
             yield found
-    # lines that were read as part of a wrapped token; where a width isn't whole groups
+    # lines that were read whole as a wrapped token; where a width isn't whole groups
     # of four, each line may be a token of its own as well
     read: set[int] = set()
     for run in _runs(text) if "\n" in text else ():
@@ -278,15 +319,16 @@ def _unwrapped(layer: _Layer) -> Iterator[_Layer]:
                 if len(part) < 2:
                     break
                 keep = np.concatenate([np.arange(a, a + len(t)) for a, t in part])
-                if found := _unbase64("".join(t for _, t in part), keep, layer):
-                    yield from found
+                found, whole = _unbase64("".join(t for _, t in part), keep, layer)
+                yield from found
+                if whole:
                     width = len(part[0][1])
                     if width % 4 == 0 and len(part[-1][1]) <= width:
                         read.update(a for a, _ in part)
                     break
     for m in _BASE64.finditer(text):
         if m.start() not in read:
-            yield from _unbase64(m[0], np.arange(*m.span()), layer)
+            yield from _unbase64(m[0], np.arange(*m.span()), layer)[0]
 
 
 def scan(text: str | None) -> tuple[set[tuple[str, int, int]], set[tuple[str, int, int]]]:

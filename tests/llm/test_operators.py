@@ -106,6 +106,18 @@ def test_base64_wrapped_at_any_width_is_read_to_its_end(width):
                 assert any(k == "assign" and 3 <= a and b == 3 + len(inner) for k, a, b in found), (last, body)
 
 
+@pytest.mark.parametrize("before", ["https://host.example.com/callback/", "session_", "a-b_", "x/", "/", "some+thing+", "user_12345_"])
+@pytest.mark.parametrize("after", ["", "_v2", "/next/page", "-a", ".html"])
+def test_base64_glued_to_other_characters_is_read(before, after):
+    secret = b"password=hunter2abcdefg"
+    for body, wrap in itertools.product((secret, secret + b"h", secret + b"hi"), (bytes, gzip.compress, zlib.compress)):
+        inner = base64.urlsafe_b64encode(wrap(body)).decode().rstrip("=")
+        text = f"see {before}{inner}{after} there"
+        at = 4 + len(before)
+        assert any(k == "assign" and at - 4 <= a < b and b >= at + len(inner) - 4 for k, a, b in secret_scan.scan(text)[1])
+        assert inner not in secret_scan.redacted(text)
+
+
 # -- packing
 
 
