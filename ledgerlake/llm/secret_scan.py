@@ -14,11 +14,12 @@ import binascii
 import bz2
 import hashlib
 import html
+import itertools
 import lzma
 import re
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -60,8 +61,12 @@ _READABLE = re.compile(
 _PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
 _OF_BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 _URLSAFE = str.maketrans("-_", "+/")
-#: A compressed layer is read up to so many bytes: a bomb can't fill the memory.
+#: A compressed layer is read to its end in chunks of so many bytes, each with the end of
+#: the one before: a bomb can't fill the memory.
 MAX_LAYER_BYTES = 64 << 20
+OVERLAP = 1 << 20
+#: What a decompressor gets at once: where a stream is damaged, what precedes is kept.
+FEED = 1 << 14
 
 
 def base_spans(text: str) -> set[tuple[str, int, int]]:
@@ -115,6 +120,14 @@ def _from_bytes(data: bytes, lo: np.ndarray, hi: np.ndarray) -> _Layer | None:
     return _Layer(text, lo, hi)
 
 
+def _of_stream(data: bytes, lo: int, hi: int) -> _Layer:
+    """Decompressed bytes as text, of which no byte gets lost, with one span for all."""
+    if len(data) >= 8 and not any(data[1:64:2]) and all(data[0:64:2]):
+        data = data[::2]  # ASCII as UTF-16
+    text = data.decode("utf-8", "surrogateescape")
+    return _Layer(text, np.broadcast_to(np.int64(lo), len(text)), np.broadcast_to(np.int64(hi), len(text)))
+
+
 def _sub(layer: _Layer, pattern: re.Pattern, decode) -> _Layer | None:
     """``layer`` with every match that ``decode`` can decode replaced; None if none can."""
     out: list[str] = []
@@ -184,22 +197,88 @@ def _unescape(m: re.Match, layer: _Layer) -> _Layer | None:
     return _whole(m, layer, unicodedata.normalize("NFKC", m[7]))
 
 
-def _inflate(data: bytes) -> tuple[bytes, int] | None:
-    """The first compressed layer of ``data`` and where it ends, or None if it isn't compressed."""
-    try:
-        if data[:2] == b"\x1f\x8b":
-            d, out = (d := zlib.decompressobj(31)), d.decompress(data, MAX_LAYER_BYTES)
-        elif data[:1] == b"\x78" and len(data) > 6 and (data[0] << 8 | data[1]) % 31 == 0:
-            d, out = (d := zlib.decompressobj()), d.decompress(data, MAX_LAYER_BYTES)
-        elif data[:3] == b"BZh":
-            d, out = (d := bz2.BZ2Decompressor()), d.decompress(data, MAX_LAYER_BYTES)
-        elif data[:6] == b"\xfd7zXZ\x00":
-            d, out = (d := lzma.LZMADecompressor()), d.decompress(data, MAX_LAYER_BYTES)
-        else:
-            return None
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+def _opener(data: bytes):
+    """A decompressor for the stream that ``data`` begins with, or None."""
+    if not _PACKED.match(data):
         return None
-    return out, len(data) - len(d.unused_data)
+    if data[:1] == b"B":
+        return bz2.BZ2Decompressor()
+    if data[:1] == b"\xfd":
+        return lzma.LZMADecompressor()
+    return zlib.decompressobj(31 if data[:1] == b"\x1f" else 15)
+
+
+def _members(parts: Iterator[bytes], end: list[int]) -> Iterator[bytes]:
+    """What the stream in ``parts`` decompresses to, all of its members, in small pieces.
+    ``end[0]`` becomes the number of bytes that they take."""
+    d, head = None, b""
+    fed = 0
+    for part in parts:
+        for i in range(0, len(part), FEED):
+            data = head + part[i : i + FEED]
+            fed, head = fed + len(data) - len(head), b""
+            while data:
+                if d is None:
+                    if len(data) < 6 and (i + FEED < len(part) or fed <= 6):
+                        head = data  # too little to know another member by
+                        break
+                    if (d := _opener(data)) is None:
+                        return
+                try:
+                    while True:
+                        out = d.decompress(data, OVERLAP)
+                        yield out
+                        if d.eof:
+                            break
+                        data = getattr(d, "unconsumed_tail", b"")
+                        if not data and (len(out) < OVERLAP if isinstance(d, _ZLIB) else d.needs_input):
+                            break
+                except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+                    end[0] = max(end[0], 1)
+                    return
+                data = d.unused_data
+                end[0] = fed - len(data)
+                if d.eof:
+                    d = None
+
+
+_ZLIB = type(zlib.decompressobj())
+
+
+def _chunks(pieces: Iterator[bytes]) -> Iterator[bytes]:
+    """``pieces`` joined to chunks of about MAX_LAYER_BYTES."""
+    held: list[bytes] = []
+    n = 0
+    for piece in pieces:
+        held.append(piece)
+        n += len(piece)
+        if n >= MAX_LAYER_BYTES:
+            yield b"".join(held)
+            held, n = [], 0
+    if n:
+        yield b"".join(held)
+
+
+def _inflated(data: bytes, end: list[int]) -> Iterator[bytes]:
+    """The text of the stream that ``data`` begins with, in chunks that overlap; streams
+    in it are opened as well. ``end[0]`` becomes the length of the outermost."""
+    parts: Iterator[bytes] = iter([data])
+    first, seen, outer = data, set(), True
+    while _opener(first) and (key := hashlib.blake2b(first).digest()) not in seen:  # a quine ends here
+        seen.add(key)
+        parts = _chunks(_members(parts if outer else itertools.chain([first], parts), end if outer else [0]))
+        outer = False
+        first = next(parts, b"")
+        second = next(parts, None)
+        # what fits in one chunk is at hand; else the rest stays to be read
+        parts = iter(()) if second is None else itertools.chain([second], parts)
+    if outer:
+        return
+    last = b""
+    for chunk in itertools.chain([first], parts):
+        if chunk:
+            yield last + chunk
+            last = chunk[-OVERLAP:]
 
 
 def _runs(text: str) -> Iterator[list[tuple[int, str]]]:
@@ -239,8 +318,8 @@ def _wrapped(run: list[tuple[int, str]]) -> Iterator[list[tuple[int, str]]]:
         i = j
 
 
-def _unbase64(token: str, keep: np.ndarray, layer: _Layer) -> tuple[list[_Layer], bool]:
-    """What a base64 token may hold, and whether that is all of it as one layer.
+def _unbase64(token: str, keep: np.ndarray, layer: _Layer) -> Generator[_Layer, None, bool]:
+    """What a base64 token may hold; returns whether that was read whole.
     ``keep`` are the places of its characters in ``layer``.
 
     A token can be glued to other characters of its class before and after it. If no
@@ -255,19 +334,14 @@ def _unbase64(token: str, keep: np.ndarray, layer: _Layer) -> tuple[list[_Layer]
         first, last = keep[offset + bits // 6], keep[offset + (bits + 7) // 6]
         return (first, last + 1) if layer.lo is None else (layer.lo[first], layer.hi[last])
 
-    def unpacked(offset: int, at: int) -> tuple[_Layer | None, int]:
-        """The text of the stream at ``at``, and where it ends."""
-        data = decoded[offset][at:]
-        packed, used = _inflate(data) or (None, 0)
-        seen = {data}
-        while packed is not None and packed not in seen:  # gzip in gzip; a quine ends here
-            seen.add(packed)
-            deeper = _inflate(packed)
-            if deeper is None:
-                lo, hi = spans(offset, at, at + used)
-                return _from_bytes(packed, np.full(len(packed), lo.min()), np.full(len(packed), hi.max())), at + used
-            packed = deeper[0]
-        return None, at
+    def unpacked(offset: int, at: int, done: list[int]) -> Iterator[_Layer]:
+        """The text of the stream at ``at``; ``done[0]`` becomes where it ends."""
+        used = [0]
+        lo, hi = spans(offset, at, len(decoded[offset]))
+        for chunk in _inflated(decoded[offset][at:], used):
+            n = used[0] or len(lo)
+            yield _of_stream(chunk, int(lo[:n].min()), int(hi[:n].max()))
+        done[0] = at + used[0]
 
     for offset in range(4):
         body = clean[offset:]
@@ -277,28 +351,27 @@ def _unbase64(token: str, keep: np.ndarray, layer: _Layer) -> tuple[list[_Layer]
         data = base64.b64decode(body + "=" * (-len(body) % 4))
         decoded.append(data)
         if _PACKED.match(data):
-            inner, end = unpacked(offset, 0)
-            if inner and end == len(data):
-                return [inner], True
+            end = [0]
+            yield from unpacked(offset, 0, end)
+            if end[0] == len(data):
+                return True
         plain = _from_bytes(data, *spans(offset, 0, len(data))) if _is_text(data) else None
         if plain is not None and (plain.text.isprintable() or all(c.isprintable() or c in "\t\n\r" for c in plain.text)):
-            return [plain], True
-    found: list[_Layer] = []
+            yield plain
+            return True
     for offset, data in enumerate(decoded):
         if _is_text(data):
             plain = _from_bytes(data, *spans(offset, 0, len(data)))
             if plain is not None and sum(c.isprintable() or c in "\t\n\r" for c in plain.text) >= 0.9 * len(plain.text):
-                found.append(plain)
+                yield plain
         for m in _READABLE.finditer(data):
             if (inner := _from_bytes(m[0], *spans(offset, *m.span()))) is not None:
-                found.append(inner)
-        done = 0
+                yield inner
+        done = [0]
         for m in _PACKED.finditer(data):
-            if m.start() >= done:
-                inner, done = unpacked(offset, m.start())
-                if inner:
-                    found.append(inner)
-    return found, False
+            if m.start() >= done[0]:
+                yield from unpacked(offset, m.start(), done)
+    return False
 
 
 def _unwrapped(layer: _Layer) -> Iterator[_Layer]:
@@ -319,16 +392,14 @@ def _unwrapped(layer: _Layer) -> Iterator[_Layer]:
                 if len(part) < 2:
                     break
                 keep = np.concatenate([np.arange(a, a + len(t)) for a, t in part])
-                found, whole = _unbase64("".join(t for _, t in part), keep, layer)
-                yield from found
-                if whole:
+                if (yield from _unbase64("".join(t for _, t in part), keep, layer)):
                     width = len(part[0][1])
                     if width % 4 == 0 and len(part[-1][1]) <= width:
                         read.update(a for a, _ in part)
                     break
     for m in _BASE64.finditer(text):
         if m.start() not in read:
-            yield from _unbase64(m[0], np.arange(*m.span()), layer)[0]
+            yield from _unbase64(m[0], np.arange(*m.span()), layer)
 
 
 def scan(text: str | None) -> tuple[set[tuple[str, int, int]], set[tuple[str, int, int]]]:
@@ -336,15 +407,19 @@ def scan(text: str | None) -> tuple[set[tuple[str, int, int]], set[tuple[str, in
     text = text or ""
     base = base_spans(text)
     found = set(base)
-    work = [_Layer(text, None, None)]
-    seen = {work[0].key()}
+    top = _Layer(text, None, None)
+    # depth first: of the chunks of a long layer, one is held at a time
+    work = [_unwrapped(top)]
+    seen = {top.key()}
     while work:
-        for below in _unwrapped(work.pop()):
-            if not below.text or (key := below.key()) in seen:
-                continue  # a cycle, or reached by another path
-            seen.add(key)
-            found |= {(kind, *below.span(a, b)) for kind, a, b in base_spans(below.text)}
-            work.append(below)
+        if (below := next(work[-1], None)) is None:
+            work.pop()
+            continue
+        if not below.text or (key := below.key()) in seen:
+            continue  # a cycle, or reached by another path
+        seen.add(key)
+        found |= {(kind, *below.span(a, b)) for kind, a, b in base_spans(below.text)}
+        work.append(_unwrapped(below))
     return base, found
 
 

@@ -2,10 +2,12 @@
 and its defined results for nulls, empty and long texts, repeated rows and empty tables."""
 
 import base64
+import bz2
 import gzip
 import hashlib
 import itertools
 import json
+import lzma
 import random
 import re
 import urllib.parse
@@ -118,6 +120,29 @@ def test_base64_glued_to_other_characters_is_read(before, after):
         assert inner not in secret_scan.redacted(text)
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+def test_compressed_layers_are_read_to_their_end(pack, monkeypatch):
+    secret = b"password=hunter2abcdef"
+    noise = random.Random(15).randbytes(30_000)
+    bodies = [pack(b"first member") + pack(secret), pack(b"Gr\xfc\xdfe " + secret), pack(noise + secret), pack(pack(noise + b" ") + pack(secret)), pack(pack(pack(secret)))]
+    bodies += [pack(noise)[:-9] + b"x" * 9] if pack is zlib.compress else []
+    for i, body in enumerate(bodies):
+        inner = base64.b64encode(body).decode()
+        kinds = {(k, a) for k, a, _ in secret_scan.scan(f"a {inner} b")[1]}
+        assert (("assign", 2) in kinds) == (i < 5), i
+    monkeypatch.setattr(secret_scan, "MAX_LAYER_BYTES", 1 << 14)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 1 << 10)
+    for body in (b" " * 500_000 + secret, noise * 20 + secret, b"x" * ((1 << 14) - 11) + b" " + secret + b" " * 40_000, pack(b"ab" * 100_000 + b" " + secret)):
+        inner = base64.b64encode(pack(body)).decode()
+        assert ("assign", 2) in {(k, a) for k, a, _ in secret_scan.scan(f"a {inner} b")[1]}
+
+
+def test_plain_base64_with_a_byte_that_is_not_utf8_is_read():
+    body = b"Gr\xfc\xdfe aus K\xf6ln \x00\x01 password=hunter2abcdef \xff"
+    inner = base64.b64encode(body).decode()
+    assert {k for k, a, b in secret_scan.scan(f"a {inner} b")[1]} == {"assign"}
+
+
 # -- packing
 
 
