@@ -29,6 +29,7 @@ _TOKEN = re.compile(
     r"|<[!?/][^>]*>",
     re.S | re.I,
 )
+_FORM = re.compile("<form", re.I)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _WORD = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
 # fixed values: the elements of HTML that start a block, that have no end tag, and that are formatting
@@ -51,6 +52,12 @@ CONTENT_WORDS = frozenset("article body content entry main post story text".spli
 #: Scores of an explicit mark, of a name that only suggests content, and the most that
 #: the learnt part of a score may say.
 MARK, HINT, LEARNT = 6.0, 2.0, 3.0
+#: Costs of a name that is all boilerplate words and of one that has such a word in it. A
+#: block so named gets up to LEARNT more, in full from PROSE characters outside of links,
+#: so that long text outweighs them and a short comment doesn't.
+NAMED, PART, PROSE = 4.0, 1.0, 400
+#: A form with so many paragraphs of so many characters is around the page, not part of it.
+PARAGRAPHS, LONG = 3, 80
 #: Capacity of the edge between neighbours, falling by FADE per step in the DOM.
 SMOOTH, FADE = 1.2, 0.75
 #: Capacities are integers: a score of 1 is so many units.
@@ -72,7 +79,9 @@ class Block:
 
 
 def _mark(tag: str, attributes: str) -> float:
-    """What an element says about the text in it: -MARK, HINT, MARK, or 0 for nothing."""
+    """What an element says about the text in it: MARK or -MARK by its tag or by being
+    hidden; by its names HINT, less NAMED or PART; 0 for nothing."""
+    hint = cost = 0.0
     if tag in CONTENT_TAGS:
         said = MARK
     elif tag in BOILERPLATE_TAGS:
@@ -85,12 +94,61 @@ def _mark(tag: str, attributes: str) -> float:
             if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
                 return -MARK
             if name in ("class", "id", "role"):
-                words = {w.lower() for w in _WORD.findall(value)}
-                if words & BOILERPLATE_WORDS and tag not in ("body", "html", "main", "article"):
-                    return -MARK
-                if words & CONTENT_WORDS:
-                    said = max(said, HINT)
-    return said
+                for token in value.split():
+                    words = {w.lower() for w in _WORD.findall(token)}
+                    if words & BOILERPLATE_WORDS and tag not in ("body", "html", "main", "article"):
+                        cost = max(cost, NAMED if words <= BOILERPLATE_WORDS else PART)
+                    if words & CONTENT_WORDS:
+                        hint = HINT
+    return said or hint - cost
+
+
+def _inside(said: float, inherited: float) -> float:
+    """The mark that holds in an element which says ``said`` where ``inherited`` held.
+
+    The tags of content stand for themselves. What a name says never softens a -MARK, a
+    hint adds to what a name around it costs, and the greater of two costs holds.
+    """
+    if abs(said) == MARK or not inherited:
+        return said
+    if inherited == -MARK or not said:
+        return inherited
+    if said > 0:
+        return inherited if inherited > 0 else inherited + said
+    return min(said, inherited)
+
+
+def _around(page: str) -> set[int]:
+    """Which forms, by their order, are around a main, an article or many paragraphs."""
+    out: set[int] = set()
+    form, forms, paragraphs, at = -1, 0, 0, 0
+    length = -1  # of the text in the open paragraph
+
+    def ended() -> None:
+        nonlocal paragraphs, length
+        paragraphs += length >= LONG
+        length = -1
+        if form >= 0 and paragraphs >= PARAGRAPHS:
+            out.add(form)
+
+    for m in _TOKEN.finditer(page):
+        if length >= 0:
+            length += m.start() - at
+        at = m.end()
+        tag = (m[3] or m[6] or "").lower()
+        closing = (m[2] if m[3] else m[5]) == "/"
+        if tag not in BLOCKS:
+            continue
+        ended()
+        if tag == "form":
+            form, paragraphs = (-1 if closing else forms), 0
+            forms += not closing
+        elif not closing and tag in CONTENT_TAGS and form >= 0:
+            out.add(form)
+        elif not closing and tag == "p":
+            length = 0
+    ended()
+    return out
 
 
 def blocks_of(page: str | None) -> list[Block]:
@@ -100,7 +158,8 @@ def blocks_of(page: str | None) -> list[Block]:
     stack: list[tuple[str, float, int]] = [("", 0.0, 0)]
     out: list[Block] = []
     parts: list[str] = []
-    linked = made = links = 0
+    linked = made = links = forms = 0
+    around_page = _around(page) if _FORM.search(page) else set()
 
     def flush() -> None:
         nonlocal linked
@@ -118,7 +177,7 @@ def blocks_of(page: str | None) -> list[Block]:
                 float("p" in tags),
                 float(bool(tags & HEADINGS)),
                 float(bool(tags & {"li", "dt", "dd", "td", "th", "option"})),
-                sum(c.isdigit() for c in text[:400]) / min(n, 400),
+                sum(map(str.isdigit, text)) / n,
             )
             mark = stack[-1][1]
             if tags & HEADINGS and mark == -MARK and stack[-1][0] in HEADINGS:
@@ -162,11 +221,9 @@ def blocks_of(page: str | None) -> list[Block]:
                     _close(stack, tag, inline=True)
             elif tag not in VOID and (said := _mark(tag, m[4] if m[3] else m[7])):
                 made += 1
-                if said == -MARK:
+                if said < 0:
                     flush()
-                stack.append((tag, said if said != HINT or not stack[-1][1] else stack[-1][1], made))
-                if said == -MARK:
-                    continue
+                stack.append((tag, _inside(said, stack[-1][1]), made))
             continue
         flush()
         if closing:
@@ -177,10 +234,11 @@ def blocks_of(page: str | None) -> list[Block]:
             continue
         made += 1
         said = _mark(tag, m[4] if m[3] else m[7])
-        inherited = stack[-1][1]
-        if not said or said == HINT and inherited or said == MARK and inherited == -MARK and tag != "article":
-            said = inherited
-        stack.append((tag, said, made))
+        if tag == "form":
+            if forms in around_page:
+                said = _mark("div", m[4] if m[3] else m[7])
+            forms += 1
+        stack.append((tag, _inside(said, stack[-1][1]), made))
     add(page[at:])
     flush()
     return out
@@ -209,8 +267,11 @@ def scores(blocks: list[Block], weights: np.ndarray) -> np.ndarray:
     """Positive for content, negative for boilerplate."""
     if not blocks:
         return np.empty(0)
-    learnt = np.clip(np.array([b.features for b in blocks]) @ weights, -LEARNT, LEARNT)
-    return learnt + np.array([b.mark for b in blocks])
+    features, marks = np.array([b.features for b in blocks]), np.array([b.mark for b in blocks])
+    learnt = np.clip(features @ weights, -LEARNT, LEARNT)
+    prose = np.minimum(1, np.expm1(features[:, 1]) * (1 - features[:, 2]) / PROSE)
+    named = (marks < 0) & (marks > -MARK) & (learnt > 0)
+    return learnt + marks + np.where(named, LEARNT * prose, 0)
 
 
 def edges_of(blocks: list[Block]) -> list[tuple[int, int, float]]:
@@ -314,7 +375,7 @@ def fit(pages: DataFrame, page: str = "html", train_pages: int = TRAIN_PAGES) ->
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(b.mark, b.features) for t in batch.column(0) for b in blocks_of(t.as_py()) if abs(b.mark) == MARK]
+            found = [(b.mark, b.features) for t in batch.column(0) for b in blocks_of(t.as_py()) if abs(b.mark) == MARK or b.mark == -NAMED]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([m for m, _ in found], pa.float64()), pa.array([f for _, f in found], pa.list_(pa.float64()))], ["mark", "features"]
             )

@@ -506,6 +506,40 @@ def test_article_without_the_rest_of_the_page(spark):
     assert html_extract.extract(pages.filter("false"), html_extract.fit(pages.filter("false"))).count() == 0
 
 
+LONG_TEXT = [f"Paragraph {i} of the text says something in a few sentences. " + "It goes on for a while, as the main text of a page does. " * 5 for i in range(4)]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div class="content has-sidebar">{}</div>',
+        '<section id="related-work">{}</section>',
+        '<div class="layout related"><div class="x">{}</div></div>',
+        '<form action="/page.aspx"><main>{}</main></form>',
+        '<form action="/page.aspx"><div>{}</div></form>',
+        '<div class="sidebar"><main>{}</main></div>',
+        '<div class="menu-page"><div id="main-content">{}</div></div>',
+    ],
+)
+def test_names_and_forms_around_the_main_text_do_not_lose_it(page):
+    body = "".join(f"<p>{t}</p>" for t in LONG_TEXT)
+    small = '<form><p>Mail <input></p><button>Send</button></form><div class="cookie-notice">We use cookies here.</div>'
+    got = html_extract.main_text(f'<body><nav><a href="/">Home</a></nav>{page.format(body)}{small}<footer>Us</footer></body>')
+    assert got == "\n\n".join(" ".join(t.split()) for t in LONG_TEXT)
+
+
+def test_a_short_comment_in_a_named_block_is_not_main_text():
+    taught = np.array([-1.3, 0.1, -2.0, -0.9, -0.7, 6.4, 4.2, -2.0, 0.0])
+    page = "<body>{}<section id='comments'><p>A short comment.</p><p>And one more of them.</p></section></body>"
+    body = "".join(f"<p>{t}</p>" for t in LONG_TEXT)
+    assert "comment" not in html_extract.main_text(page.format(f"<article>{body}</article>"), taught)
+
+
+def test_digits_are_counted_over_the_whole_block():
+    (block,) = html_extract.blocks_of("<p>" + "a" * 400 + "1" * 400)
+    assert block.features[-1] == 0.5
+
+
 def test_broken_markup_ends_soon():
     for page in ("<" * 20_000, "<a b='" * 5_000, "<p " + "x=\"" * 5_000, "<div>" * 3_000 + "x", "<script>never closed", "a < b & c &lt; d"):
         html_extract.main_text(page)
