@@ -19,6 +19,11 @@ from ledgerlake.llm.common import map_arrow, table
 
 #: A text longer than this is encoded in pieces of about this many characters.
 PIECE = 1 << 16
+#: A run of white space from this length on isn't given to the regex engine.
+LONG_SPACE = 1 << 12
+# fixed values: the characters of the pattern's \s, Unicode's White_Space
+_SPACES = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_SPACE)
+_CUT = re.compile(r"(?<=\S)[ \n]")
 
 
 @lru_cache(maxsize=4)
@@ -62,16 +67,11 @@ def pieces(text: str, size: int = PIECE) -> Iterator[str]:
     """
     at = 0
     while len(text) - at > size:
-        cut = at + size
-        while True:
-            cut = min((i for i in (text.find(" ", cut), text.find("\n", cut)) if i > 0), default=-1)
-            if cut < 0 or not text[cut - 1].isspace():
-                break
-            cut += 1
-        if cut < 0:
+        cut = _CUT.search(text, at + size)
+        if not cut:
             break
-        yield text[at:cut]
-        at = cut
+        yield text[at : cut.start()]
+        at = cut.start()
     yield text[at:]
 
 
@@ -91,6 +91,23 @@ def encode(text: str | None, bpe: tiktoken.Encoding) -> list[int]:
 
 
 def _ordinary(text: str, bpe: tiktoken.Encoding) -> list[int]:
+    """Long runs of white space go to the merges as the pattern's own matches: the whole
+    run at a text's end, else all but its last character, as ``\\s+(?!\\S)`` leaves that to
+    the next match. The regex engine would step back through such a run, which takes a
+    stack as deep as the run and time in its square."""
+    if len(text) < LONG_SPACE:
+        return bpe.encode_ordinary(text)
+    out: list[int] = []
+    at = 0
+    for run in _SPACES.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        out += _pieced(text[at : run.start()], bpe)
+        out += bpe._encode_single_piece(text[run.start() : end])
+        at = end
+    return out + _pieced(text[at:], bpe)
+
+
+def _pieced(text: str, bpe: tiktoken.Encoding) -> list[int]:
     if len(text) <= PIECE:
         return bpe.encode_ordinary(text)
     return [i for piece in pieces(text) for i in bpe.encode_ordinary(piece)]
@@ -150,4 +167,10 @@ def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str, path: str = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by commas) and
+    decoded_sha256 (of the bytes that the ids decode to) of every whole text.
+
+    Null and empty texts have no ids; repeated rows stay; an empty table gives an empty
+    result; other columns are not read.
+    """
     return digests(table(spark, sf_dir, "documents"), path)

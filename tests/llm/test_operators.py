@@ -154,7 +154,6 @@ def test_every_id_is_in_one_piece_and_windows_are_gapless(spark):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     for i, text in enumerate(texts):
         ids = t.encode(text or "", add_special_tokens=False).ids + [0]
         own = sorted((r for r in packed if r.doc_id == i), key=lambda r: r.start)
@@ -278,6 +277,28 @@ def test_pieces_never_change_the_ids():
         assert "".join(bpe.pieces(text, 20)) == text
 
 
+@pytest.mark.parametrize("c", [" ", "\n", "\t", "\u3000"])
+def test_long_white_space_is_encoded_as_the_patterns_own_matches(c):
+    e = bpe.encoding(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    run = c * 2_000_000
+    assert bpe.encode(run, e) == e._encode_single_piece(run)
+    whole = e._encode_single_piece(run[:-1])
+    assert bpe.encode("word" + run + "end", e) == e.encode_ordinary("word") + whole + e.encode_ordinary(c + "end")
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "byte_bpe_multi_50k.tiktoken"])
+def test_white_space_of_every_kind_equals_the_library(name, monkeypatch):
+    monkeypatch.setattr(bpe, "LONG_SPACE", 6)
+    monkeypatch.setattr(bpe, "PIECE", 20)
+    monkeypatch.setattr(bpe, "_SPACES", re.compile(bpe._SPACES.pattern.replace("4096", "6")))
+    e = bpe.encoding(public_tokenizers.path(name))
+    rng = random.Random(16)
+    parts = ["a", "'s", " ", " " * 7, "\n" * 8, "  \n", "\x85", "\x1c", "\u3000" * 6, "12", "é", "!", "\xa0", "\u200b"]
+    for _ in range(1500):
+        text = "".join(rng.choices(parts, k=rng.randint(1, 30)))
+        assert bpe.encode(text, e) == e.encode_ordinary(text)
+
+
 # -- toxicity
 
 
