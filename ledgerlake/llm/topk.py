@@ -1,13 +1,13 @@
 """Exact top-k inner products by Fagin's threshold algorithm.
 
-Vectors are dealt into blocks, and each block keeps its vectors sorted by every
-dimension. A query reads the lists of a block in step from the end that its own
-component favours, scores every vector it meets (random access), and stops as soon
-as the sum of its products with the last values read, the most that an unread vector
-can reach, is below its k-th score. If a query has had to read a quarter of a block
-by then, it scores the rest in one product, which costs less than more steps. Blocks are joined with blocks of queries, so a
-task holds one block of each, however many there are; the k best of each pair of
-blocks are merged by a window of k rows per block.
+Vectors stay where they are read. Each partition takes them in blocks and keeps a block
+sorted by every dimension; the queries come to all partitions in waves of a bounded
+size. A query reads the lists of a block from the ends that its own components favour,
+scores every vector that it meets (random access), and stops as soon as the sum of its
+products with the next values of the lists, the most that an unread vector can reach,
+is below its k-th score. Lists whose next entries lower that sum most are read first,
+and the k-th score is carried from block to block. What leaves a partition are the k
+best of each query; a window over those gives the answer.
 """
 
 from __future__ import annotations
@@ -19,13 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import blocks_for, map_arrow, table
+from ledgerlake.llm.common import cut, map_arrow, table
 
 K = 5
-VECTORS, QUERIES = 8192, 1024
+#: Vectors in a block, and queries that go to all partitions at once (of 64 dimensions: 8 MB).
+VECTORS, WAVE = 8192, 16_384
 SCALE = 256.0
-#: Sorted accesses are made in steps; a step reads so many entries of each list at first.
-STEP = 16
+#: Entries of a list that are read at once: so many at first, then twice as many each time.
+CHUNK = 64
 
 
 class SortedLists:
@@ -34,68 +35,76 @@ class SortedLists:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
-        self.by = np.argsort(self.vectors, axis=0, kind="stable").astype(np.int32)
-        self.values = np.take_along_axis(self.vectors, self.by, axis=0)
+        by = np.argsort(self.vectors, axis=0, kind="stable")
+        self.values = np.ascontiguousarray(np.take_along_axis(self.vectors, by, axis=0).T)
+        self.by = np.ascontiguousarray(by.T.astype(np.int32))
 
-    def top(self, query: np.ndarray, own: int | None, k: int) -> tuple[np.ndarray, np.ndarray, int]:
-        """(ids, scores, vectors read) of the k best for ``query``, ties to the smaller id.
+    def top(self, query: np.ndarray, own: int | None, k: int, floor: float = -np.inf) -> tuple[np.ndarray, np.ndarray, int, int]:
+        """(ids, scores, sorted accesses, random accesses) of the k best for ``query``, ties
+        to the smaller id.
 
-        ``own`` is an id that takes no part.
+        ``own`` is an id that takes no part. ``floor`` is a score that k candidates of
+        other blocks reach: what is below it may be left out.
         """
         n = len(self.ids)
         dims = np.flatnonzero(query)
+        unseen = np.ones(n, bool)
+        best = np.empty(0, np.int64)
+        score = np.empty(0, self.vectors.dtype)
+        kth = floor
+
+        def met(fresh: np.ndarray) -> None:
+            nonlocal best, score, kth
+            new = self.vectors.take(fresh, axis=0) @ query
+            if own is not None:
+                new, fresh = new[mine := self.ids[fresh] != own], fresh[mine]
+            if len(new) > k:
+                kth = max(kth, np.partition(new, len(new) - k)[len(new) - k])
+            ok = np.flatnonzero(new >= kth)
+            best, score = np.concatenate([best, fresh[ok]]), np.concatenate([score, new[ok]])
+            order = np.lexsort((best, -score))[:k]  # rows are in the order of their ids
+            best, score = best[order], score[order]
+            if len(score) == k:
+                kth = max(kth, score[-1])
+
+        if not len(dims):  # every score is 0: the lists say nothing
+            met(np.arange(n))
+            return self.ids[best], score, 0, n
         q = query[dims]
         down = q > 0  # read from the large end
-        seen = np.zeros(n, bool)
-        rows: list[np.ndarray] = []
-        scores: list[np.ndarray] = []
-        kth, depth, step = -np.inf, 0, STEP
-        if not len(dims):  # every score is 0: the lists say nothing
-            depth, fresh = n, np.arange(n)
-            rows, scores = [fresh], [np.zeros(n, self.vectors.dtype)]
-        while depth < n:
-            until = min(n, depth + step)
-            high = self.by[n - until : n - depth, dims[down]]
-            low = self.by[depth:until, dims[~down]]
-            met = np.zeros(n, bool)
-            met[high.ravel()] = True
-            met[low.ravel()] = True
-            met &= ~seen
-            seen |= met
-            fresh = np.flatnonzero(met)
+        # an entry's place in the flat lists is its list's favoured end and a step per entry read
+        step = np.where(down, -1, 1)
+        end = dims * n + np.where(down, n - 1, 0)
+        depth = np.zeros(len(dims), np.int64)
+        chunk, reads, left = CHUNK, 0, n
+        values, by, half = self.values.ravel(), self.by.ravel(), (len(dims) + 1) // 2
+        head = q * values[end]
+        while left and head.sum() >= kth:
+            # the lists whose next entries lower the bound most
+            until = np.minimum(depth + chunk, n)
+            ahead = q * values[end + step * np.minimum(until, n - 1)]
+            read = np.argpartition(ahead - head, half - 1)[:half]
+            lo = np.where(down[read], end[read] - until[read] + 1, end[read] + depth[read])
+            size = until[read] - depth[read]
+            entries = np.concatenate([by[x : x + y] for x, y in zip(lo.tolist(), size.tolist(), strict=True)])
+            reads += len(entries)
+            depth[read], head[read] = until[read], ahead[read]
+            met_now = np.zeros(n, bool)
+            met_now[entries] = True
+            met_now &= unseen
+            fresh = np.flatnonzero(met_now)
             if len(fresh):
-                rows.append(fresh)
-                scores.append(self.vectors[fresh] @ query)
-                if own is not None and len(at := np.flatnonzero(self.ids[fresh] == own)):
-                    keep = np.setdiff1d(np.arange(len(fresh)), at)
-                    rows[-1], scores[-1] = fresh[keep], scores[-1][keep]
-            depth, step = until, step * 2
-            every = np.concatenate(scores) if scores else np.empty(0)
-            if len(every) >= k:
-                kth = max(kth, np.partition(every, len(every) - k)[len(every) - k])
-            if depth < n:
-                bound = self.values[n - depth, dims[down]] @ q[down] + self.values[depth - 1, dims[~down]] @ q[~down]
-                if bound < kth:
-                    break
-                if 4 * seen.sum() > n:  # the lists can't spare much: read what is left at once
-                    seen[:] = True
-                    rows, scores = [np.arange(n)], [self.vectors @ query]
-                    if own is not None:
-                        rows = [np.flatnonzero(self.ids != own)]
-                        scores = [scores[0][rows[0]]]
-                    break
-        every = np.concatenate(scores) if scores else np.empty(0, self.vectors.dtype)
-        at = np.concatenate(rows) if rows else np.empty(0, np.int64)
-        if not len(dims) and own is not None:
-            keep = self.ids[at] != own
-            at, every = at[keep], every[keep]
-        best = np.lexsort((self.ids[at], -every))[:k]
-        return self.ids[at[best]], every[best], int(seen.sum())
+                unseen[fresh] = False
+                left -= len(fresh)
+                met(fresh)
+            if until[read].max() == n:
+                break  # a list read to its end has shown every vector
+            chunk *= 2
+        return self.ids[best], score, reads, n - left
 
 
 def _matrix(lists: list[np.ndarray]) -> np.ndarray:
-    """Vectors as rows; missing components are 0. Doubles while sums of products are
-    exact in them, else 64-bit integers."""
+    """Vectors as rows; missing components are 0."""
     width = max((len(x) for x in lists), default=0)
     out = np.zeros((len(lists), width))
     for i, x in enumerate(lists):
@@ -103,9 +112,17 @@ def _matrix(lists: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _same_width(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    width = max(a.shape[1], b.shape[1])
+    return tuple(np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (a, b))
+
+
 def _exact(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest type in which all sums of products are exact: floats, doubles or
+    64-bit integers."""
     most = (np.abs(a).max(initial=0) + 1) * (np.abs(b).max(initial=0) + 1) * max(1, a.shape[1])
-    return (a, b) if most < 2**53 else (a.astype(np.int64), b.astype(np.int64))
+    kind = np.float32 if most < 2**24 else np.float64 if most < 2**53 else np.int64
+    return a.astype(kind), b.astype(kind)
 
 
 def quantised(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", scale: float = SCALE) -> DataFrame:
@@ -119,68 +136,84 @@ def quantised(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding"
     return vectors.filter(F.col(vector).isNotNull() & F.col(key).isNotNull() & whole).select(F.col(key).cast("long").alias("vec_id"), v.alias("v"))
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, block: int = VECTORS, query_block: int = QUERIES) -> DataFrame:
+def _carried(ids: np.ndarray, score: np.ndarray, more_ids: np.ndarray, more: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    ids, score = np.concatenate([ids, more_ids]), np.concatenate([score, more])
+    order = np.lexsort((ids, -score))[:k]
+    return ids[order], score[order]
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, block: int = VECTORS, wave: int = WAVE) -> DataFrame:
     """query_id, rank, vec_id, score: the k best of ``vectors`` for each of ``queries``.
 
     Both have (vec_id, v). A query's own id is no candidate; with fewer candidates
     than k, all come. Ties go to the smaller id; rows that repeat an id are all
     candidates, and a repeated query is answered once. Vectors of other lengths count
     as padded with zeros. Empty tables give an empty result.
+
+    The vectors aren't shuffled: queries, ``wave`` at a time, are sent to the partitions,
+    and each partition returns k rows per query at most.
     """
-    queries = queries.dropDuplicates(["vec_id"])
-    nv, nq = blocks_for(vectors.count(), block), blocks_for(queries.count(), query_block)
-    hashed = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<long>"))
-    side = vectors.select(hashed(nv).alias("vb"), every(nq).alias("qb"), F.lit(0).alias("query"), "vec_id", "v")
-    other = queries.select(every(nv).alias("vb"), hashed(nq).alias("qb"), F.lit(1).alias("query"), "vec_id", "v")
-    dealt = side.unionByName(other).repartition("vb", "qb").sortWithinPartitions("vb", "qb", "query", "vec_id")
-
-    def answered(ids: list[np.ndarray], vs: list, is_query: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        ids, is_query = np.concatenate(ids), np.concatenate(is_query) == 1
-        matrix = _matrix(vs)
-        a, b = _exact(matrix[~is_query], matrix[is_query])
-        if not len(a) or not len(b):
+    queries = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
+    waves = -(-queries.count() // wave)
+    queries = cut(queries.withColumn("wave", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, waves)))), "queries")
+    found = None
+    for i in range(max(1, waves)):
+        part = _wave(vectors, queries.filter(F.col("wave") == i), k, block)
+        part = cut(part, "wave") if waves > 1 else part
+        found = part if found is None else found.unionByName(part)
+    by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _wave(vectors: DataFrame, queries: DataFrame, k: int, block: int) -> DataFrame:
+    """(query_id, vec_id, score): the k best of each partition for the queries, of which there are few."""
+    rows = queries.select("vec_id", "v").toArrow().sort_by("vec_id")
+    asked = rows["vec_id"].to_numpy()
+    matrix = _matrix([v.values.to_numpy() for v in rows["v"]])
+    shared = vectors.sparkSession.sparkContext.broadcast((asked, matrix))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, matrix = shared.value
+        if not len(asked):
             return
-        lists = SortedLists(ids[~is_query], a)
-        out: list[tuple[int, np.ndarray, np.ndarray]] = []
-        for query_id, query in zip(ids[is_query], b, strict=True):
-            found, scores, _ = lists.top(query, int(query_id), k)
-            out.append((query_id, found, scores))
-        sizes = [len(f) for _, f, _ in out]
+        best = [(np.empty(0, np.int64), np.empty(0)) for _ in asked]
+        ids: list[np.ndarray] = []
+        vs: list[np.ndarray] = []
+
+        def answer() -> None:
+            a, b = _same_width(_matrix(vs), matrix)
+            a, b = _exact(a, b)
+            lists = SortedLists(np.concatenate(ids), a)
+            for i, query in enumerate(b):
+                held, score = best[i]
+                floor = score[-1] if len(score) == k else -np.inf
+                more, its, _, _ = lists.top(query, int(asked[i]), k, floor)
+                if len(more):
+                    best[i] = _carried(held, score, more, its, k)
+
+        for batch in batches:
+            ids.append(batch.column(0).to_numpy())
+            vs += [v.values.to_numpy() for v in batch.column(1)]
+            if len(vs) >= block:
+                answer()
+                ids, vs = [], []
+        if vs:
+            answer()
+        sizes = [len(i) for i, _ in best]
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(np.repeat([q for q, _, _ in out], sizes).astype(np.int64)),
-                pa.array(np.concatenate([f for _, f, _ in out]).astype(np.int64)),
-                pa.array(np.concatenate([s for _, _, s in out]).astype(np.int64)),
+                pa.array(np.repeat(asked, sizes)),
+                pa.array(np.concatenate([i for i, _ in best]).astype(np.int64)),
+                pa.array(np.concatenate([s for _, s in best]).astype(np.int64)),
             ],
             ["query_id", "vec_id", "score"],
         )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, ids, vs, kinds = None, [], [], []
-        for batch in batches:
-            keys = np.stack([batch.column("vb").to_numpy(), batch.column("qb").to_numpy()], axis=1)
-            cuts = [0, *(np.flatnonzero((np.diff(keys, axis=0) != 0).any(axis=1)) + 1), len(keys)]
-            for x, y in zip(cuts, cuts[1:]):
-                if y == x:
-                    continue
-                if tuple(keys[x]) != at:
-                    if ids:
-                        yield from answered(ids, vs, kinds)
-                    at, ids, vs, kinds = tuple(keys[x]), [], [], []
-                part = batch.slice(x, y - x)
-                ids.append(part.column("vec_id").to_numpy())
-                kinds.append(part.column("query").to_numpy())
-                vs += [v.values.to_numpy() for v in part.column("v")]
-        if ids:
-            yield from answered(ids, vs, kinds)
-
-    best = map_arrow(dealt, run, "query_id long, vec_id long, score long")
-    by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return best.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return map_arrow(vectors.select("vec_id", "v"), run, "query_id long, vec_id long, score long")
 
 
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best of all other vectors for each vector whose id is divisible by 50."""
     vectors = quantised(table(spark, sf_dir, "embeddings"))
     return top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
 

@@ -233,7 +233,7 @@ def test_topk_equals_brute_force_with_ties_and_bad_vectors(spark):
     rows = [(i, [float(x) / 256 for x in v]) for i, v in data.items()] + [(900, None), (901, [1.0, None]), (902, [float("nan")] * 6), (903, [float("inf")] * 6)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     v = topk.quantised(df)
-    got = topk.top_k(v, v.filter("vec_id % 10 = 0"), 5, block=64, query_block=16)
+    got = topk.top_k(v, v.filter("vec_id % 10 = 0"), 5, block=64, wave=16)
     assert sorted(map(tuple, got.collect())) == brute_top(data, {i: x for i, x in data.items() if i % 10 == 0}, 5)
     few = topk.top_k(v.filter("vec_id < 3"), v.filter("vec_id = 0"), 5)
     assert few.count() == 2
@@ -245,9 +245,27 @@ def test_threshold_stops_before_all_vectors_are_read():
     x = np.zeros((4000, 8))
     x[:, 0] = rng.permutation(4000)
     lists = topk.SortedLists(np.arange(4000), x)
-    ids, scores, read = lists.top(np.array([1.0, 0, 0, 0, 0, 0, 0, 0]), None, 5)
+    ids, scores, _, read = lists.top(np.array([1.0, 0, 0, 0, 0, 0, 0, 0]), None, 5)
     assert scores.tolist() == [3999, 3998, 3997, 3996, 3995] and read < 100
     assert lists.top(np.zeros(8), 0, 3)[0].tolist() == [1, 2, 3]
+    assert lists.top(np.array([1.0, 0, 0, 0, 0, 0, 0, 0]), None, 5, 5000.0)[2:] == (0, 0)
+
+
+@pytest.mark.parametrize("kind", [np.float32, np.float64, np.int64])
+@pytest.mark.parametrize("n", [1, 4, 700])
+def test_threshold_algorithm_equals_brute_force_in_every_type(kind, n):
+    rng = np.random.default_rng(n)
+    x = rng.integers(-4, 5, (n, 5)).astype(kind)
+    lists = topk.SortedLists(np.arange(n), x)
+    for q in rng.integers(-4, 5, (60, 5)).astype(kind):
+        score = x @ q
+        want = np.lexsort((np.arange(n), -score))[:5]
+        ids, got, _, _ = lists.top(q, None, 5)
+        assert ids.tolist() == want.tolist() and got.tolist() == score[want].tolist()
+        floor = sorted(score)[-(n // 2 + 1)]
+        ids, got, _, _ = lists.top(q, None, 5, floor)
+        at_least = [i for i in want.tolist() if score[i] >= floor]
+        assert ids.tolist()[: len(at_least)] == at_least
 
 
 # -- BPE
