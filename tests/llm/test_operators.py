@@ -480,27 +480,43 @@ def test_filter_counts_are_corrected_for_false_positives():
 # -- line dedup
 
 
-def test_lines_equal_brute_force(spark):
+@pytest.mark.parametrize("list_bytes", [line_dedup.LIST_BYTES, 0])
+@pytest.mark.parametrize("min_chars", [line_dedup.MIN_CHARS, 16])
+def test_lines_equal_brute_force(spark, list_bytes, min_chars):
     rng = random.Random(12)
-    common = [f"this line is number {i} of many" for i in range(30)]
-    texts = [None, "", "short", "short"] + ["\n".join([*rng.sample(common, rng.randint(0, 5)), f"a line of its own {i} it is", "short"]) for i in range(200)]
-    sources = [f"s{rng.randint(0, 13)}" for _ in texts]
+    common = [f"this line is number {i} of many" for i in range(30)] + ["Read more", "x", "Share this"]
+    ends = ["", " ", "\r", "\t"]
+    texts = [None, "", "short", "short", "\n\n", " \n\t"]
+    texts += ["\n".join([*(x + rng.choice(ends) for x in rng.sample(common, rng.randint(0, 5))), f"a line of its own {i} it is", "", "short"]) for i in range(200)]
+    sources = [f"s{rng.randint(0, 13)}" if rng.random() < 0.95 else None for _ in texts]
     sites, first = {}, {}
     for i, t in enumerate(texts):
         for p, line in enumerate((t or "").split("\n")):
-            k = line.strip(" ")
-            if len(k) >= line_dedup.MIN_CHARS:
-                sites.setdefault(k, set()).add(sources[i])
+            k = line.strip(" \t\r")
+            if len(k) >= min_chars:
+                sites.setdefault(k, set()).update({sources[i]} - {None})
                 first.setdefault(k, (i, p))
     gone = {k for k, s in sites.items() if len(s) >= line_dedup.MIN_SITES}
-    assert 0 < len(gone) < len(sites)
+    assert 0 < len(gone) < len(sites) and ("short" in gone) == (min_chars == 1)
     want = {}
     for i, t in enumerate(texts):
-        kept = [x for p, x in enumerate((t or "").split("\n")) if x.strip(" ") not in gone or first[x.strip(" ")] == (i, p)]
-        want[i] = None if t is None else "\n".join(kept)
-    out = line_dedup.line_dedup(docs_of(spark, texts, sources).withColumn("removed_lines", F.lit("x")).withColumn("h", F.lit(1)))
-    assert {r.doc_id: r.text for r in out.collect()} == want
-    assert line_dedup.line_dedup(docs_of(spark, [])).count() == 0
+        old = (t or "").split("\n")
+        kept = [x for p, x in enumerate(old) if x.strip(" \t\r") not in gone or first[x.strip(" \t\r")] == (i, p)]
+        want[i] = (None if t is None else "\n".join(kept), len(old) - len(kept))
+    docs = docs_of(spark, texts, sources).withColumns({"removed_lines": F.lit("x"), "h": F.lit(1), "line": F.lit(2), "pos": F.lit(3)})
+    out = line_dedup.line_dedup(docs, min_chars=min_chars, list_bytes=list_bytes)
+    assert {r.doc_id: (r.text, r.removed_lines) for r in out.collect()} == want
+    assert set(out.columns) == set(docs.columns)
+    assert line_dedup.line_dedup(docs_of(spark, []), list_bytes=list_bytes).count() == 0
+
+
+def test_lines_of_repeated_rows_and_ids(spark):
+    rows = [(None if i % 2 else 1, "the same line\nthe same line", "en", f"s{i}", 1) for i in range(24)]
+    for list_bytes in (line_dedup.LIST_BYTES, 0):
+        out = line_dedup.line_dedup(spark.createDataFrame(rows, DOCS), list_bytes=list_bytes).collect()
+        # the first place is (null, 0): rows that repeat it keep their first line
+        assert sorted((r.text, r.removed_lines) for r in out if r.doc_id is None) == [("the same line", 1)] * 12
+        assert sorted((r.text, r.removed_lines) for r in out if r.doc_id == 1) == [("", 2)] * 12
 
 
 # -- HTML extraction
