@@ -1,8 +1,8 @@
 """Secret scans with a recursive decoding worklist.
 
 A text is scanned as it stands; then every layer that can be unwrapped (URL
-escapes, Unicode escapes and look-alikes, base64, compressed bytes inside base64)
-is put on a worklist, scanned itself and unwrapped further, until nothing new
+escapes, Unicode escapes and look-alikes, base64, compressed bytes however they are
+written) is put on a worklist, scanned itself and unwrapped further, until nothing new
 appears. Each character of a layer knows the span of the original text it came
 from, so that a secret five layers down is reported where it stands in the text.
 """
@@ -51,14 +51,22 @@ _MAYBE_ESCAPE = re.compile(
 #: The shortest secret is 14 bytes (``token=12345678``), 19 characters of base64.
 LEAST = 19
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{19,}")
+_WIDE = rb"(?:[\t\n\r\x20-\x7e]\x00){14,}+|(?:\x00[\t\n\r\x20-\x7e]){14,}+"
 #: A stretch of readable text in bytes, as UTF-8 or as ASCII in UTF-16, that can hold
 #: the shortest secret.
 _READABLE = re.compile(
     rb"(?:[\t\n\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|\xed[\x80-\x9f][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}"
-    rb"|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){14,}+|(?:[\t\n\r\x20-\x7e]\x00){14,}+"
+    rb"|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){14,}+|" + _WIDE
 )
+_READABLE_WIDE = re.compile(_WIDE)
 #: How gzip, zlib (without a preset dictionary), bz2 and xz begin.
 _PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
+_PACKED_SIGNS = ("\x1f\x8b\x08", "x\x01", "x^", "x\x9c", "x\xda", "BZh", "\xfd7zXZ\x00")
+#: What a stream must survive of its decompressor before it is read.
+PROBE = 1 << 12
+_PERCENT_BYTE = re.compile(r"%([0-9A-Fa-f]{2})")
+_ESCAPED_BYTE = re.compile(r"""\\(?:x([0-9A-Fa-f]{2})|([abfnrtv0'"\\]))""")
+_ESCAPED = dict(zip("abfnrtv0'\"\\", b"\a\b\f\n\r\t\v\0'\"\\", strict=True))
 _OF_BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 _URLSAFE = str.maketrans("-_", "+/")
 #: A compressed layer is read to its end in chunks of so many bytes, each with the end of
@@ -78,12 +86,13 @@ def base_spans(text: str) -> set[tuple[str, int, int]]:
 
 
 class _Layer:
-    """A decoded text; character i came from ``lo[i]:hi[i]`` of the original."""
+    """A decoded text; character i came from ``lo[i]:hi[i]`` of the original. ``data`` are
+    the bytes of a layer that was compressed."""
 
-    __slots__ = ("text", "lo", "hi")
+    __slots__ = ("text", "lo", "hi", "data")
 
-    def __init__(self, text: str, lo: np.ndarray | None, hi: np.ndarray | None):
-        self.text, self.lo, self.hi = text, lo, hi
+    def __init__(self, text: str, lo: np.ndarray | None, hi: np.ndarray | None, data: bytes | None = None):
+        self.text, self.lo, self.hi, self.data = text, lo, hi, data
 
     def span(self, a: int, b: int) -> tuple[int, int]:
         if self.lo is None:
@@ -97,18 +106,35 @@ class _Layer:
         return h.digest()
 
 
+def _utf16(data: bytes) -> str | None:
+    """The codec if ``data`` is UTF-16: by its mark, or as the first characters are ASCII."""
+    if len(data) < 8:
+        return None
+    if data[:2] in (b"\xff\xfe", b"\xfe\xff"):
+        return "utf-16-le" if data[0] == 0xFF else "utf-16-be"
+    even, odd = data[0:64:2], data[1:64:2]
+    if not any(odd) and all(even):
+        return "utf-16-le"
+    return "utf-16-be" if not any(even) and all(odd) else None
+
+
 def _is_text(data: bytes) -> bool:
     try:
         data.decode("utf-8")
     except UnicodeDecodeError:
-        return len(data) >= 8 and not any(data[1:64:2]) and all(data[0:64:2])
+        return _utf16(data) is not None
     return True
 
 
 def _from_bytes(data: bytes, lo: np.ndarray, hi: np.ndarray) -> _Layer | None:
     """Bytes as text, each character with the span of its bytes; None if they aren't text."""
-    if len(data) >= 8 and not any(data[1:64:2]) and all(data[0:64:2]):
-        data, lo, hi = data[::2], lo[::2], hi[::2]  # ASCII as UTF-16
+    if codec := _utf16(data):
+        n = len(data) // 2
+        text = data[: 2 * n].decode(codec, "replace")
+        lo, hi = np.minimum(lo[: 2 * n : 2], lo[1 : 2 * n : 2]), np.maximum(hi[: 2 * n : 2], hi[1 : 2 * n : 2])
+        if len(text) != n:  # a character of two units: one span for all
+            lo, hi = np.full(len(text), lo.min()), np.full(len(text), hi.max())
+        return _Layer(text, lo, hi)
     try:
         text = data.decode("utf-8")
     except UnicodeDecodeError:
@@ -122,10 +148,56 @@ def _from_bytes(data: bytes, lo: np.ndarray, hi: np.ndarray) -> _Layer | None:
 
 def _of_stream(data: bytes, lo: int, hi: int) -> _Layer:
     """Decompressed bytes as text, of which no byte gets lost, with one span for all."""
-    if len(data) >= 8 and not any(data[1:64:2]) and all(data[0:64:2]):
-        data = data[::2]  # ASCII as UTF-16
-    text = data.decode("utf-8", "surrogateescape")
-    return _Layer(text, np.broadcast_to(np.int64(lo), len(text)), np.broadcast_to(np.int64(hi), len(text)))
+    codec = _utf16(data)
+    text = data.decode(codec, "replace") if codec else data.decode("utf-8", "surrogateescape")
+    return _Layer(text, np.broadcast_to(np.int64(lo), len(text)), np.broadcast_to(np.int64(hi), len(text)), data)
+
+
+def _raw(layer: _Layer, pattern: re.Pattern | None) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """(bytes, where each came from): the characters of a text as bytes, with what
+    ``pattern`` matches as the byte that it says. A character beyond a byte becomes ``?``."""
+    flat = np.frombuffer(layer.text.encode("latin-1", "replace"), np.uint8).copy()
+    width = np.ones(len(flat), np.int64)
+    keep = np.ones(len(flat), bool)
+    for m in pattern.finditer(layer.text) if pattern else ():
+        flat[m.start()] = int(m[1], 16) if m[1] else _ESCAPED[m[2]]
+        width[m.start()] = m.end() - m.start()
+        keep[m.start() + 1 : m.end()] = False
+    at = np.flatnonzero(keep)
+    last = at + width[at] - 1
+    lo, hi = (at, last + 1) if layer.lo is None else (layer.lo[at], layer.hi[last])
+    return flat[at].tobytes(), lo, hi
+
+
+def _plausible(data: bytes, at: int) -> bool:
+    """Whether the stream that seems to begin at ``at`` survives its first bytes."""
+    head = data[at : at + PROBE]
+    try:
+        _opener(head).decompress(head, PROBE)
+    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+        return False
+    return True
+
+
+def _streams(data: bytes, lo: np.ndarray, hi: np.ndarray, done: int = 0) -> Iterator[_Layer]:
+    """The text of every compressed stream in ``data`` from ``done`` on; one in another is
+    found when that is unwrapped."""
+    for m in _PACKED.finditer(data):
+        if m.start() >= done and _plausible(data, m.start()):
+            used = [0]
+            for chunk in _inflated(data[m.start() :], used):
+                end = m.start() + used[0] if used[0] else len(data)
+                yield _of_stream(chunk, int(lo[m.start() : end].min()), int(hi[m.start() : end].max()))
+            done = m.start() + used[0]
+
+
+def _binary(data: bytes, lo: np.ndarray, hi: np.ndarray) -> Iterator[_Layer]:
+    """What bytes hold that aren't a text themselves: streams, and stretches of UTF-16."""
+    yield from _streams(data, lo, hi)
+    if b"\0" in data:
+        for m in _READABLE_WIDE.finditer(data):
+            if (inner := _from_bytes(m[0], lo[m.start() : m.end()], hi[m.start() : m.end()])) is not None:
+                yield inner
 
 
 def _sub(layer: _Layer, pattern: re.Pattern, decode) -> _Layer | None:
@@ -169,11 +241,15 @@ def _whole(m: re.Match, layer: _Layer, text: str) -> _Layer:
     return _Layer(text, np.full(len(text), a), np.full(len(text), b))
 
 
+def _text_of(data: bytes, lo: np.ndarray, hi: np.ndarray) -> _Layer:
+    return _from_bytes(data, lo, hi) or _Layer(data.decode("latin-1"), lo, hi)
+
+
 def _unpercent(m: re.Match, layer: _Layer) -> _Layer | None:
     if m[1]:
         return _whole(m, layer, chr(int(m[1], 16)))
     data = binascii.unhexlify(m[2].replace("%", ""))
-    return _from_bytes(data, *_unit_spans(m, layer, len(data), 3)) or _whole(m, layer, data.decode("latin-1"))
+    return _text_of(data, *_unit_spans(m, layer, len(data), 3))
 
 
 def _unescape(m: re.Match, layer: _Layer) -> _Layer | None:
@@ -188,9 +264,11 @@ def _unescape(m: re.Match, layer: _Layer) -> _Layer | None:
         return _whole(m, layer, chr(n)) if n < 0x110000 and not 0xD800 <= n < 0xE000 else None
     if m[4]:
         data = binascii.unhexlify(m[4].replace("\\x", ""))
-        return _from_bytes(data, *_unit_spans(m, layer, len(data), 4)) or _whole(m, layer, data.decode("latin-1"))
+        return _text_of(data, *_unit_spans(m, layer, len(data), 4))
     if m[5]:
         text = html.unescape(m[5])
+        if m[5][1] == "#" and (n := int(m[5][3:-1], 16) if m[5][2] in "xX" else int(m[5][2:-1])) < 0x100:
+            text = chr(n)  # a byte, also where HTML means another character
         return _whole(m, layer, text) if text != m[5] else None
     if m[6]:
         return _whole(m, layer, "")
@@ -334,15 +412,6 @@ def _unbase64(token: str, keep: np.ndarray, layer: _Layer) -> Generator[_Layer,
         first, last = keep[offset + bits // 6], keep[offset + (bits + 7) // 6]
         return (first, last + 1) if layer.lo is None else (layer.lo[first], layer.hi[last])
 
-    def unpacked(offset: int, at: int, done: list[int]) -> Iterator[_Layer]:
-        """The text of the stream at ``at``; ``done[0]`` becomes where it ends."""
-        used = [0]
-        lo, hi = spans(offset, at, len(decoded[offset]))
-        for chunk in _inflated(decoded[offset][at:], used):
-            n = used[0] or len(lo)
-            yield _of_stream(chunk, int(lo[:n].min()), int(hi[:n].max()))
-        done[0] = at + used[0]
-
     for offset in range(4):
         body = clean[offset:]
         body = body[: len(body) - (len(body) % 4 == 1)]
@@ -351,9 +420,12 @@ def _unbase64(token: str, keep: np.ndarray, layer: _Layer) -> Generator[_Layer,
         data = base64.b64decode(body + "=" * (-len(body) % 4))
         decoded.append(data)
         if _PACKED.match(data):
-            end = [0]
-            yield from unpacked(offset, 0, end)
-            if end[0] == len(data):
+            used = [0]
+            lo, hi = spans(offset, 0, len(data))
+            for chunk in _inflated(data, used):
+                n = used[0] or len(data)
+                yield _of_stream(chunk, int(lo[:n].min()), int(hi[:n].max()))
+            if used[0] == len(data):
                 return True
         plain = _from_bytes(data, *spans(offset, 0, len(data))) if _is_text(data) else None
         if plain is not None and (plain.text.isprintable() or all(c.isprintable() or c in "\t\n\r" for c in plain.text)):
@@ -367,18 +439,29 @@ def _unbase64(token: str, keep: np.ndarray, layer: _Layer) -> Generator[_Layer,
         for m in _READABLE.finditer(data):
             if (inner := _from_bytes(m[0], *spans(offset, *m.span()))) is not None:
                 yield inner
-        done = [0]
-        for m in _PACKED.finditer(data):
-            if m.start() >= done[0]:
-                yield from unpacked(offset, m.start(), done)
+        if _PACKED.search(data):
+            yield from _streams(data, *spans(offset, 0, len(data)))
     return False
 
 
 def _unwrapped(layer: _Layer) -> Iterator[_Layer]:
     """The layers one step below ``layer``."""
     text = layer.text
-    if "%" in text and (found := _sub(layer, _PERCENT, _unpercent)):
-        yield found
+    if layer.data is not None:
+        span = [np.broadcast_to(x[0], len(layer.data)) for x in (layer.lo, layer.hi) if len(x)]
+        # a stream at the beginning has been opened
+        yield from _binary(b"\0" + layer.data[1:], *span) if span and layer.data else ()
+    elif "\0" in text or any(sign in text for sign in _PACKED_SIGNS):
+        yield from _binary(*_raw(layer, None))
+    if "%" in text:
+        if found := _sub(layer, _PERCENT, _unpercent):
+            yield found
+            yield from _binary(*_raw(layer, _PERCENT_BYTE))
+    if "\\" in text and ("\\x" in text or "\\\\" in text):
+        data, lo, hi = _raw(layer, _ESCAPED_BYTE)
+        yield from _binary(data, lo, hi)
+        if "\\\\" in text:  # an escaped escape
+            yield _text_of(data, lo, hi)
     if not text.isascii() or "\\" in text or "&" in text:
         if _MAYBE_ESCAPE.search(text) and (found := _sub(layer, _ESCAPE, _unescape)):
             yield found

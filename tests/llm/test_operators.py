@@ -143,6 +143,41 @@ def test_plain_base64_with_a_byte_that_is_not_utf8_is_read():
     assert {k for k, a, b in secret_scan.scan(f"a {inner} b")[1]} == {"assign"}
 
 
+WRAPPERS = {
+    "url": lambda b: "".join(f"%{c:02X}" for c in b).encode(),
+    "quote": lambda b: urllib.parse.quote(b, safe="").encode(),
+    "unicode": lambda b: "".join(f"\\u{c:04x}" for c in b).encode(),
+    "hex": lambda b: "".join(f"\\x{c:02x}" for c in b).encode(),
+    "literal": lambda b: repr(b)[2:-1].encode(),
+    "html": lambda b: "".join(f"&#{c};" for c in b).encode(),
+    "base64": base64.b64encode,
+    "base64url": lambda b: base64.urlsafe_b64encode(b).rstrip(b"="),
+}
+PACKERS = {"gzip": gzip.compress, "zlib": zlib.compress, "bz2": bz2.compress, "xz": lzma.compress, "head": lambda b: b"\x00\x81\xff\x02" + b}
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3])
+def test_every_order_of_wrappers_is_unwrapped(depth):
+    every = WRAPPERS | PACKERS
+    for names in itertools.product(every, repeat=depth):
+        if names[-1] in WRAPPERS:
+            inner = SECRET.encode()
+            for name in names:
+                inner = every[name](inner)
+            text = f"a {inner.decode()} b"
+            assert any(k == "assign" and 2 <= a < b <= len(text) - 2 for k, a, b in secret_scan.scan(text)[1]), names
+
+
+@pytest.mark.parametrize("codec", ["utf-16-le", "utf-16-be", "utf-16", "latin-1"])
+def test_other_encodings_are_read(codec):
+    for body in (SECRET, "Grüße: " + SECRET, SECRET + " für Köln", "x" * 40 + "ÿ " + SECRET):
+        for name, wrap in WRAPPERS.items():
+            if not (name == "html" and codec == "latin-1"):
+                for pack in (bytes, gzip.compress):
+                    text = f"a {wrap(pack(body.encode(codec))).decode()} b"
+                    assert any(k == "assign" for k, _, _ in secret_scan.scan(text)[1]), (codec, name, body)
+
+
 # -- packing
 
 
