@@ -10,6 +10,7 @@ import json
 import lzma
 import random
 import re
+import time
 import urllib.parse
 import zlib
 
@@ -618,11 +619,76 @@ def test_names_and_forms_around_the_main_text_do_not_lose_it(page):
     assert got == "\n\n".join(" ".join(t.split()) for t in LONG_TEXT)
 
 
-def test_a_short_comment_in_a_named_block_is_not_main_text():
-    taught = np.array([-1.3, 0.1, -2.0, -0.9, -0.7, 6.4, 4.2, -2.0, 0.0])
-    page = "<body>{}<section id='comments'><p>A short comment.</p><p>And one more of them.</p></section></body>"
+@pytest.mark.parametrize(
+    "comments",
+    [
+        "<section id='comments'><p>A short comment.</p><p>And one more of them.</p></section>",
+        "<ol class='comment-list'><li><article class='comment-body'><p>{0}</p></article></li></ol>",
+        "<div class='comments'>{0}<br>{0}</div>",
+        "<aside><p>{0}</p></aside>",
+        "<div class='cookie-notice'><p>{0}</p></div>",
+    ],
+)
+@pytest.mark.parametrize("model", [html_extract.UNTAUGHT, html_extract.Model(np.array([-2.85, 0.45, -4.0, -0.1, 0.3, 3.6, 1.9, -1.0, -1.0, 4.1, 2.0, -9.0, -8.0, -4.0, -1.0, -12.0]))])
+def test_comments_and_notices_are_not_main_text(comments, model):
     body = "".join(f"<p>{t}</p>" for t in LONG_TEXT)
-    assert "comment" not in html_extract.main_text(page.format(f"<article>{body}</article>"), taught)
+    side = comments.replace("comment-list", "commentlist").format("A reader said this, and it was long. " * 12)
+    got = html_extract.main_text(f"<body><article>{body}</article>{side}</body>", model)
+    assert got == "\n\n".join(" ".join(t.split()) for t in LONG_TEXT)
+
+
+def test_boilerplate_in_a_line_does_not_tear_its_paragraph():
+    page = "<article><p>The <span class='ad'>buy now</span> word goes <em class='x'>on</em> here.</p><p>{}</p></article>".format(LONG_TEXT[0])
+    assert html_extract.main_text(page).split("\n\n")[0] == "The word goes on here."
+    assert html_extract.main_text("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be so.</p></article>") == "Let x=1 be so."
+    assert "open" in html_extract.main_text("<article><p>Never <span class='ad'>closed</p><p>but open again.</p></article>")
+
+
+def test_the_cut_overrules_the_classifier_where_neighbours_do():
+    items = ["An item of the list that ends as a sentence.", "<a href='/n'>Nb</a>", "Another item that does so as well, and is long."]
+    page = f"<article><p>{LONG_TEXT[0]}</p><ul>{''.join(f'<li>{x}</li>' for x in items)}</ul></article>"
+    blocks = html_extract.blocks_of(page)
+    score = html_extract.scores(blocks, html_extract.PRIOR)
+    assert (score > 0).tolist() == [True, True, False, True]
+    assert html_extract.minimum_cut(score, html_extract.edges_of(blocks)).all()
+    assert not html_extract.main_text(f"<nav><ul>{'<li><a href=/n>Nb</a>' * 3}</ul></nav>")
+
+
+def brute_main_texts(page, model):
+    """The texts of all labellings of least cost, the scores and edges in whole units."""
+    blocks = html_extract.blocks_of(page)
+    score = [round(html_extract.UNITS * float(x)) for x in html_extract.scores(blocks, model.weights)]
+    edges = [(a, b, round(html_extract.UNITS * c)) for a, b, c in html_extract.edges_of(blocks, model.smooth)]
+    best = {}
+    for labels in itertools.product([0, 1], repeat=len(blocks)):
+        cost = sum(abs(s) for s, x in zip(score, labels) if (s > 0) != bool(x)) + sum(c for a, b, c in edges if labels[a] != labels[b])
+        best.setdefault(cost, set()).add("\n\n".join(b.text for b, x in zip(blocks, labels) if x))
+    return best[min(best)] if best else {""}
+
+
+def test_extraction_equals_a_brute_force_cut_of_small_pages(spark):
+    rng = random.Random(17)
+    parts = ["<p>{}</p>", "<div>{}</div>", "<li>{}</li>", "<h2>{}</h2>", "<div class='sidebar'>{}</div>", "<aside>{}</aside>", "<section class='has-menu'><p>{}</p></section>", "<a href='/x'>{}</a><br>"]
+    words = ["short", "A sentence, which ends.", "A longer sentence that goes on for a while; and it ends.", "1 2 3 4", "x " * 60]
+    pages = []
+    for i in range(120):
+        body = "".join(rng.choice(parts).format(rng.choice(words)) for _ in range(rng.randint(0, 9)))
+        pages.append((i, "u", rng.choice(["<body>{}</body>", "<article>{}</article>", "<main><div>{}</div></main>", "{}"]).format(body)))
+    smooth = html_extract.Model(smooth=html_extract.SMOOTH * 2)
+    for model in (html_extract.UNTAUGHT, smooth):
+        for _, _, page in pages:
+            assert html_extract.main_text(page, model) in brute_main_texts(page, model)
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    model = html_extract.fit(df)
+    for r in html_extract.extract(df, model).collect():
+        assert r.text in brute_main_texts(pages[r.page_id][2], model) and r.n_chars == len(r.text)
+
+
+def test_deep_pages_take_time_in_proportion():
+    began = time.process_time()
+    for page in ("<div><p>x y z." * 30_000, "<div>" * 50_000 + "<p>x" + "</div>" * 50_000, "<span class='ad'>" * 20_000 + "x", "<p><i class='ad'>a" * 20_000 + "</b>" * 20_000):
+        html_extract.main_text(page)
+    assert time.process_time() - began < 60
 
 
 def test_digits_are_counted_over_the_whole_block():
