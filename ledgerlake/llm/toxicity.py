@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ledgerlake.llm.common import cut, map_arrow, small, table
 
@@ -45,10 +46,13 @@ def _of_token(token: str) -> tuple[int, ...]:
 
 
 class Featuriser:
-    """Distinct features of a whole text; a bounded memory of tokens seen before."""
+    """Distinct features of a whole text; a bounded memory of tokens seen before.
 
-    def __init__(self, wanted: frozenset[int] | None = None, most: int = 100_000):
-        self.wanted, self.most, self.known = wanted, most, {}
+    With ``places`` they are the places of the features in it, and others are left out.
+    """
+
+    def __init__(self, places: dict[int, int] | None = None, most: int = 100_000):
+        self.places, self.most, self.known = places, most, {}
 
     def __call__(self, text: str | None) -> set[int]:
         out: set[int] = set()
@@ -57,8 +61,8 @@ class Featuriser:
             h = known.get(token)
             if h is None:
                 h = _of_token(token)
-                if self.wanted is not None:
-                    h = tuple(x for x in h if x in self.wanted)
+                if self.places is not None:
+                    h = tuple(self.places[x] for x in h if x in self.places)
                 if len(known) >= self.most:
                     known.clear()
                 known[token] = h
@@ -75,9 +79,25 @@ class Linear:
     weights: dict[int, float] = field(default_factory=dict)
     chained: list[float] = field(default_factory=list)
 
-    def probability(self, features: set[int], earlier: list[float]) -> float:
-        z = self.bias + sum(self.weights[f] for f in features if f in self.weights) + sum(w * p for w, p in zip(self.chained, earlier, strict=True))
-        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+class Chain:
+    """The models as one matrix: a row of weights for each, a column for each feature."""
+
+    def __init__(self, models: list[tuple[str, Linear]]):
+        names = sorted(frozenset().union(*(m.weights for _, m in models)))
+        self.of = Featuriser({f: i for i, f in enumerate(names)})
+        self.weights = np.array([[m.weights.get(f, 0.0) for f in names] for _, m in models]).reshape(len(models), len(names))
+        self.models = [m for _, m in models]
+
+    def __call__(self, texts: list[str | None]) -> np.ndarray:
+        """Probabilities: a row for each text, a column for each category."""
+        found = [np.fromiter(f, np.int64, len(f)) for f in map(self.of, texts)]
+        row = np.repeat(np.arange(len(texts)), [len(f) for f in found])
+        column = np.concatenate(found) if found else np.empty(0, np.int64)
+        out = np.zeros((len(texts), len(self.models)))
+        for i, model in enumerate(self.models):
+            z = model.bias + np.bincount(row, self.weights[i, column], len(texts)) + out[:, :i] @ np.array(model.chained)
+            out[:, i] = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        return out
 
 
 class _Rows:
@@ -138,15 +158,16 @@ def fit(labelled: DataFrame, text: str, categories: list[tuple[str, Column]], tr
     """The chain's models from the rows of ``labelled``, one per (name, label column).
 
     Rows whose text or a label is null don't teach. If more than ``train_docs`` are
-    left, a sample of about that many is taken by the text's hash; their features, not
-    their texts, go to the driver. A category without both classes gets a constant
+    left, a sample of about that many is taken by a hash of the row's number, so a text
+    that many rows repeat fills no more of it than of the rows; the documents' features,
+    not their texts, go to the driver. A category without both classes gets a constant
     model.
     """
     names = [f"y{i}" for i in range(len(categories))]
     rows = labelled.select(F.col(text).alias("text"), *[c.cast("double").alias(n) for n, (_, c) in zip(names, categories, strict=True)]).dropna()
     n = rows.count()
     if n > train_docs:
-        rows = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < round(1_000_000 * train_docs / n))
+        rows = rows.filter(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1_000_000)) < round(1_000_000 * train_docs / n))
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = Featuriser()
@@ -194,42 +215,35 @@ def _scorer(models: list[tuple[str, Linear]], first, at: int):
     """A mapInArrow function: the columns ``first(batch)`` and then the probabilities."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = Featuriser(frozenset().union(*(m.weights for _, m in models)))
+        chain = Chain(models)
         for batch in batches:
-            found = []
-            for t in batch.column(at):
-                features, p = of(t.as_py()), []
-                for _, model in models:
-                    p.append(model.probability(features, p))
-                found.append(p)
-            kept = first(batch)
+            kept, p = first(batch), chain(batch.column(at).to_pylist())
             names = [f"c{i}" for i in range(len(kept))] + [f"p_{c}" for c, _ in models]
-            columns = [pa.array([p[i] for p in found], pa.float64()) for i in range(len(models))]
-            yield pa.RecordBatch.from_arrays([*kept, *columns], names)
+            yield pa.RecordBatch.from_arrays([*kept, *(pa.array(p[:, i]) for i in range(len(models)))], names)
 
     return run
 
 
 def with_probabilities(docs: DataFrame, models: list[tuple[str, Linear]], text: str = "text", prefix: str = "__p_") -> DataFrame:
-    """``docs`` with a column ``<prefix><category>`` for each category."""
-    from pyspark.sql.types import DoubleType, StructField, StructType
-
-    schema = StructType([*docs.schema.fields, *(StructField(f"{prefix}{c}", DoubleType()) for c, _ in models)])
+    """``docs`` with a column ``<prefix><category>`` for each category, in place of one of that name."""
+    names = [f"{prefix}{c}" for c, _ in models]
+    docs = docs.drop(*names)
+    schema = StructType([*docs.schema.fields, *(StructField(n, DoubleType()) for n in names)])
     return map_arrow(docs, _scorer(models, lambda b: list(b.columns), docs.columns.index(text)), schema)
 
 
 def labelled_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """``text``, ``quality`` and ``toxic`` of the documents that have labels; a
-    document that repeats, or has several labels, comes with each of them."""
+    """``text``, ``quality`` and ``toxic`` of the documents that have labels; a document
+    that repeats, or has different labels, comes with each of them."""
     known = labels.select("doc_id", "quality", "toxic").filter(F.col("doc_id").isNotNull())
     return documents.select("doc_id", "text").join(known, "doc_id")
 
 
 def fit_labels(documents: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> list[tuple[str, Linear]]:
-    """The chain ``CHAIN`` from the labels. Where there are many more labels than
+    """The chain ``CHAIN`` from the distinct labels. Where there are more of them than
     ``train_docs``, they are thinned by their doc_id's hash before the join; what is left
     is written and, being counted to be small, broadcast, so no text is shuffled."""
-    labels = labels.select("doc_id", "quality", "toxic")
+    labels = labels.select("doc_id", "quality", "toxic").distinct()
     n = labels.count()
     if n > train_docs:
         labels = labels.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < round(1_000_000 * train_docs / n))
@@ -238,7 +252,8 @@ def fit_labels(documents: DataFrame, labels: DataFrame, train_docs: int = TRAIN_
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, a probability for each category, and ``toxic``, the verdict."""
+    """doc_id, a probability for each category, and ``toxic``, the verdict, of every whole
+    text; null is empty, repeated rows stay, other columns are not read."""
     docs = table(spark, sf_dir, "documents")
     models = fit_labels(docs, table(spark, sf_dir, "labels"))
     return predict(docs, models).withColumn("toxic", F.col("p_toxic") >= THRESHOLD)
