@@ -5,6 +5,10 @@ blocks get equal integer names by sorting; then adjacent names are paired and th
 pairs are named in the same way, level by level, until each document has a single
 name. A name stands for exactly one string, so equality of (number of blocks,
 name) is equality of texts, without any chance of a collision.
+
+What is sorted are the distinct blocks and pairs, so a block that a third of all rows
+hold is one row there. Names go back by a join on a block's hash, which is narrow;
+blocks that share their hash with another are joined by their text.
 """
 
 from __future__ import annotations
@@ -12,15 +16,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import blocks_for, cut, table
+from ledgerlake.llm.common import blocks_for, cut, small, table
 
 #: What normalisation deletes: space, tab, LF, VT, FF and CR.
 SPACES = r"[\x20\x09-\x0D]+"
 BLOCK = 1024
-#: A block is hot if it has so many rows at least and one thousandth of all, so
-#: there are 1,000 hot ones at most, each of ``BLOCK`` code points.
-HOT_ROWS, HOT_SHARE = 2_000, 1_000
-#: Names are given per bucket of the blocks' hash; one bucket has about so many rows.
+#: Names are given per bucket of the keys' hash; one bucket has about so many distinct keys.
 BUCKET_ROWS = 2_000
 
 
@@ -28,40 +29,39 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACES, "")
 
 
-def _named(df: DataFrame, key: list[str], rows: int) -> DataFrame:
-    """``df`` with the column ``name``: equal keys, and only they, have equal names.
+def _parts(text: Column, block: int) -> Column:
+    norm = normalised(text)
+    return F.when(norm == "", F.array(F.lit(""))).otherwise(F.regexp_extract_all(norm, F.lit(f"(?s).{{1,{block}}}"), F.lit(0)))
+
 
-    Rows are dealt by the key's hash into buckets; within a bucket the keys are
-    sorted and numbered densely, and the bucket's number makes the name unique.
+def _named(distinct: DataFrame, key: list[str], rows: int) -> DataFrame:
+    """``distinct`` with the column ``name``, which is another for each row.
+
+    Rows are dealt by the key's hash into buckets; within a bucket they are sorted by
+    ``key`` and numbered, and the bucket's number makes the name unique.
     """
     n = blocks_for(rows, BUCKET_ROWS)
     bucket = F.pmod(F.xxhash64(*key), F.lit(n))
-    by = Window.partitionBy("bucket").orderBy(*key)
-    rank = F.dense_rank().over(by).cast("long")
-    return df.withColumn("bucket", bucket).withColumn("name", rank * F.lit(n) + F.col("bucket")).drop("bucket")
+    rank = F.row_number().over(Window.partitionBy("bucket").orderBy(*key)).cast("long")
+    return distinct.withColumn("bucket", bucket).withColumn("name", rank * F.lit(n) + F.col("bucket")).drop("bucket")
 
 
-def _name_blocks(blocks: DataFrame) -> tuple[DataFrame, int]:
-    """Names for the text blocks, and the largest number of blocks of a document.
+def _name_blocks(docs: DataFrame, level: DataFrame, block: int, hashed) -> DataFrame:
+    """``level`` (with the hash h of each block) with the blocks' names in its place.
 
-    A hot block (boilerplate, a large group of copies) is taken out of the
-    buckets: its rows are reduced to one before the shuffle and the few hot names
-    go back by a broadcast.
+    ``docs`` are read again for the texts of the distinct blocks. A hash that is one
+    block's alone stands for it; rows with another one are joined by their text.
     """
-    counts = blocks.groupBy(F.xxhash64("block").alias("h")).agg(F.count("*").alias("n"), F.max("pos").alias("last"))
-    counts = cut(counts, "counts")
-    rows, last = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("last"), F.lit(0))).first()
-    least = max(HOT_ROWS, rows // HOT_SHARE)
-    hot = [r.h for r in counts.filter(F.col("n") >= least).select("h").take(HOT_SHARE)]
-    if not hot:
-        return _named(blocks, ["block"], rows).drop("block"), last + 1
-    is_hot = F.xxhash64("block").isin(hot)
-    names = blocks.filter(is_hot).select("block").distinct()
-    names = names.withColumn("name", -F.row_number().over(Window.orderBy("block")).cast("long"))
-    names = cut(names, "hot")
-    cold = _named(blocks.filter(~is_hot), ["block"], rows)
-    warm = blocks.filter(is_hot).join(F.broadcast(names), "block")
-    return cold.drop("block").unionByName(warm.drop("block")), last + 1
+    texts = docs.select(F.explode(_parts(F.col("text"), block)).alias("block")).distinct().select("block", hashed(F.col("block")).alias("h"))
+    names = cut(_named(texts, ["h", "block"], max(1, level.count())), "names")
+    shared = names.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
+    shared = cut(shared, "shared-hashes")
+    if shared.isEmpty():
+        return level.join(small(names.select("h", "name")), "h").drop("h")
+    level = cut(_rows(docs, block, hashed, text=True), "blocks-with-text")
+    alone = level.drop("block").join(names.join(shared, "h", "left_anti").select("h", "name"), "h").drop("h")
+    clash = level.join(shared, "h", "left_semi").drop("h").join(names.join(shared, "h", "left_semi").select("block", "name"), "block").drop("block")
+    return alone.unionByName(clash)
 
 
 def _name_pairs(level: DataFrame, rows: int) -> DataFrame:
@@ -73,11 +73,26 @@ def _name_pairs(level: DataFrame, rows: int) -> DataFrame:
         *carried,
     )
     pairs = cut(pairs, "pairs")
-    distinct = _named(pairs.select("left", "right").distinct(), ["left", "right"], rows)
-    return pairs.join(cut(distinct, "pair-names"), ["left", "right"]).drop("left", "right")
+    names = cut(_named(pairs.select("left", "right").distinct(), ["left", "right"], rows), "pair-names")
+    return pairs.join(small(names), ["left", "right"]).drop("left", "right")
+
+
+def _rows(docs: DataFrame, block: int, hashed, text: bool = False) -> DataFrame:
+    """A row per block: uid (the document's number), pos, h (the block's hash), doc_id,
+    blocks, and with the first of them n_cp and text_sha256."""
+    norm = docs.select(
+        F.col("doc_id"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_cp"), normalised(F.col("text")).alias("norm"), _parts(F.col("text"), block).alias("parts")
+    )
+    norm = norm.withColumn("text_sha256", F.sha2(F.encode("norm", "UTF-8"), 256)).withColumn("uid", F.monotonically_increasing_id())
+    rows = norm.select("uid", "doc_id", "n_cp", "text_sha256", F.size("parts").cast("long").alias("blocks"), F.posexplode("parts").alias("pos", "block"))
+    only_first = F.col("pos") == 0
+    for c in ("n_cp", "text_sha256"):
+        rows = rows.withColumn(c, F.when(only_first, F.col(c)))
+    rows = rows.withColumn("h", hashed(F.col("block")))
+    return rows if text else rows.drop("block")
 
 
-def identities(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+def identities(docs: DataFrame, block: int = BLOCK, hashed=F.xxhash64) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_cp (code points of the original text),
     text_sha256 (of the normalised text), and (blocks, name), the text's identity.
 
@@ -85,21 +100,11 @@ def identities(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     Repeated rows and repeated or null doc_ids stay separate rows. Other columns
     of ``docs`` are not read.
     """
-    norm = docs.select(
-        F.col("doc_id"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_cp"), normalised(F.col("text")).alias("norm")
-    )
-    norm = norm.withColumn("text_sha256", F.sha2(F.encode("norm", "UTF-8"), 256)).withColumn("uid", F.monotonically_increasing_id())
-    parts = F.regexp_extract_all("norm", F.lit(f"(?s).{{1,{block}}}"), F.lit(0))
-    parts = F.when(F.col("norm") == "", F.array(F.lit(""))).otherwise(parts)
-    blocks = norm.withColumn("parts", parts).withColumn("blocks", F.size("parts").cast("long"))
-    blocks = blocks.select(
-        "uid", "doc_id", "n_cp", "text_sha256", "blocks", F.posexplode("parts").alias("pos", "block")
-    )
-    only_first = F.col("pos") == 0
-    for c in ("n_cp", "text_sha256"):
-        blocks = blocks.withColumn(c, F.when(only_first, F.col(c)))
-    level, most = _name_blocks(blocks)
-    level = cut(level, "level")
+    docs = docs.select("doc_id", "text")
+    # the rows' numbers are written with them: they hold whatever is computed again
+    level = cut(_rows(docs, block, hashed), "blocks")
+    most = level.agg(F.coalesce(F.max("pos"), F.lit(0))).first()[0] + 1
+    level = cut(_name_blocks(docs, level, block, hashed), "level")
     done: list[DataFrame] = []
     keep = ["doc_id", "n_cp", "text_sha256", "blocks", "name"]
     # A document is done when its name is alone; which level that is follows from
@@ -131,7 +136,7 @@ def exact_dedup(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     rows = identities(docs, block)
     best = F.max(F.struct(F.col("n_cp"), (-F.col("doc_id")).alias("d")))
     groups = rows.groupBy("blocks", "name").agg(best.alias("best"), F.count("*").alias("group_size"))
-    groups = cut(groups.filter("group_size > 1"), "groups")
+    groups = small(cut(groups.filter("group_size > 1"), "groups"))
     found = rows.join(groups, ["blocks", "name"], "left")
     best_id = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(-F.col("best.d"))
     same_length = F.col("group_size").isNull() | (F.col("n_cp") == F.col("best.n_cp"))
@@ -145,6 +150,7 @@ def exact_dedup(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``exact_dedup`` of all documents."""
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 

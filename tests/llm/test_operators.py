@@ -468,14 +468,20 @@ def brute_exact(texts):
 
 
 @pytest.mark.parametrize("block", [1, 3, 1024])
-def test_exact_dedup_equals_brute_force(spark, block, monkeypatch):
-    monkeypatch.setattr(exact_dedup, "HOT_ROWS", 5)
+def test_exact_dedup_equals_brute_force(spark, block):
     random.seed(9)
     texts = ["".join(random.choices("ab \n", k=random.randint(0, 9))) for _ in range(150)] + [None, "🎉 é", "🎉é", "abab" * 20, "abab" * 20 + " "]
     got = {tuple(r) for r in exact_dedup.exact_dedup(docs_of(spark, texts), block).collect()}
     assert got == brute_exact(texts)
 
 
+def test_blocks_that_share_a_hash_have_names_of_their_own(spark):
+    texts = ["abc", "abd", "xbc", "a b c", "xyz" * 9, "xyz" * 8 + "xya", "", None, "q"]
+    rows = exact_dedup.identities(docs_of(spark, texts), 3, hashed=lambda c: F.xxhash64(F.substring(c, 1, 1))).collect()
+    names = {r.doc_id: (r.blocks, r.name) for r in rows}
+    assert len(rows) == len(texts) and names[0] == names[3] and names[6] == names[7] and len(set(names.values())) == 7
+
+
 def test_exact_dedup_of_edge_rows(spark):
     assert exact_dedup.exact_dedup(docs_of(spark, [])).count() == 0
     d = docs_of(spark, ["x", None]).withColumn("name", F.lit(1)).withColumn("pos", F.lit(2))
