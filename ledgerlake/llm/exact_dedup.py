@@ -35,7 +35,7 @@ def _parts(text: Column, block: int) -> Column:
 
 
 def _named(distinct: DataFrame, key: list[str], rows: int) -> DataFrame:
-    """``distinct`` with the column ``name``, which is another for each row.
+    """``distinct`` with the column ``name``, a positive number that is another for each row.
 
     Rows are dealt by the key's hash into buckets; within a bucket they are sorted by
     ``key`` and numbered, and the bucket's number makes the name unique.
@@ -49,19 +49,22 @@ def _named(distinct: DataFrame, key: list[str], rows: int) -> DataFrame:
 def _name_blocks(docs: DataFrame, level: DataFrame, block: int, hashed) -> DataFrame:
     """``level`` (with the hash h of each block) with the blocks' names in its place.
 
-    ``docs`` are read again for the texts of the distinct blocks. A hash that is one
-    block's alone stands for it; rows with another one are joined by their text.
+    Blocks sort by (hash, text). ``docs`` are read again for the distinct blocks, which
+    are shuffled once to see whose hash is theirs alone: such a hash stands for its block,
+    and only those are narrow rows from there on. Where blocks share a hash, the rows are
+    joined by their text; their names are negative.
     """
+    rows = max(1, level.count())
     texts = docs.select(F.explode(_parts(F.col("text"), block)).alias("block")).distinct().select("block", hashed(F.col("block")).alias("h"))
-    names = cut(_named(texts, ["h", "block"], max(1, level.count())), "names")
-    shared = names.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    shared = cut(shared, "shared-hashes")
+    hashes = cut(texts.groupBy("h").agg(F.count("*").alias("n")), "hashes")
+    names = cut(_named(hashes.filter("n = 1").select("h"), ["h"], rows), "names")
+    shared = hashes.filter("n > 1").select("h")
     if shared.isEmpty():
-        return level.join(small(names.select("h", "name")), "h").drop("h")
+        return level.join(small(names), "h").drop("h")
     level = cut(_rows(docs, block, hashed, text=True), "blocks-with-text")
-    alone = level.drop("block").join(names.join(shared, "h", "left_anti").select("h", "name"), "h").drop("h")
-    clash = level.join(shared, "h", "left_semi").drop("h").join(names.join(shared, "h", "left_semi").select("block", "name"), "block").drop("block")
-    return alone.unionByName(clash)
+    others = _named(texts.join(shared, "h", "left_semi"), ["h", "block"], rows).select("block", (-F.col("name")).alias("name"))
+    clash = level.join(shared, "h", "left_semi").drop("h").join(cut(others, "other-names"), "block").drop("block")
+    return level.drop("block").join(names, "h").drop("h").unionByName(clash)
 
 
 def _name_pairs(level: DataFrame, rows: int) -> DataFrame:
