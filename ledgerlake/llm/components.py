@@ -9,7 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import cut, map_arrow
+from ledgerlake.llm.common import cut, map_arrow, small
+
+#: A node with so many neighbours (the centre of a large star) gets its least neighbour by
+#: a broadcast, as its edges would all go to one task otherwise.
+HOT_DEGREE = 1_000
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -43,6 +47,16 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v") % (1 << 31)), F.lit(0))).first())
 
 
+def _with_least(rows: DataFrame, edges: DataFrame, name: str) -> DataFrame:
+    """``rows`` (u, v) with m, the least neighbour of u in ``edges`` (u, v)."""
+    least = cut(edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), name)
+    hot, rest = least.filter(F.col("n") >= HOT_DEGREE).select("u", "m"), least.filter(F.col("n") < HOT_DEGREE).select("u", "m")
+    if hot.isEmpty():
+        return rows.join(rest, "u")
+    hot = small(hot)
+    return rows.join(hot, "u").unionByName(rows.join(hot, "u", "left_anti").join(rest, "u"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of ``edges`` (a, b): the smallest node it is connected with.
 
@@ -56,12 +70,11 @@ def components(edges: DataFrame) -> DataFrame:
     while mark != (now := _mark(edges)):  # v < u in every edge
         mark = now
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = _with_least(both.filter("v > u"), both, "least").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
         large = cut(large, "large")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = cut(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        moved = _with_least(large, large, "least-large")
+        edges = moved.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(moved.select("u", F.col("m").alias("v")))
+        edges = cut(edges.distinct(), "edges")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +30,13 @@ COORDINATES = 64
 #: A linked pair is missed with at most this probability.
 MISS = 1e-7
 #: Documents that are compared side by side in one task: posted ones, and full sets
-#: by number and by shingles. Larger lists and groups are cut into pairs of blocks.
+#: by number and by shingles. Larger lists and groups are cut into blocks.
 POSTED, SET_DOCS, SET_SHINGLES = 1024, 512, 1 << 20
+#: About so many documents of a large group are compared with all others of it first.
+PIVOTS = 16
+#: The words of a longer text (in bytes) aren't held all at once.
+LONG_TEXT = 1 << 20
+_WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 _ODD, _XOR = (np.random.default_rng(20).integers(0, 1 << 32, (2, 512), dtype=np.uint64).astype(np.uint32))
 _ODD |= np.uint32(1)
 
@@ -47,19 +53,21 @@ class Shingler:
     def __init__(self, words: int = WORDS, most: int = 150_000):
         self.words, self.most, self.known = words, most, {}
 
+    def _hashed(self, word: bytes) -> int:
+        h = self.known.get(word)
+        if h is None:
+            h = xxhash.xxh3_64_intdigest(word)
+            if len(self.known) <= self.most:
+                self.known[word] = h
+        return h
+
     def __call__(self, text: str | None) -> np.ndarray:
         # bytes split exactly at space and \t \n \v \f \r, and lower only A-Z
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        known = self.known
-        if len(known) > self.most:
-            known.clear()
-        hashes = []
-        for w in words:
-            h = known.get(w)
-            if h is None:
-                h = known[w] = xxhash.xxh3_64_intdigest(w)
-            hashes.append(h)
-        a = np.array(hashes, np.uint64)
+        data = (text or "").encode("utf-8", "surrogatepass").lower()
+        words = data.split() if len(data) < LONG_TEXT else (m[0] for m in _WORD.finditer(data))
+        a = np.fromiter(map(self._hashed, words), np.uint64)
+        if len(self.known) > self.most:
+            self.known.clear()
         n = min(self.words, len(a))
         if not n:
             return a
@@ -145,18 +153,120 @@ class _Labels:
                 self.label[self.label == x] = self.label[row]
 
 
-def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    a = np.array(found, np.int64).reshape(-1, 2)
-    return pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], ["a", "b"])
+class _Signatures:
+    """Documents of a group that agree in ``t`` coordinates, and whose sizes allow it."""
+
+    def __init__(self, rows: pa.Table, similarity: float, t: int):
+        self.size, self.similarity, self.t = rows["n_shingles"].to_numpy(), similarity, t
+        self.sig = rows["sig"].combine_chunks().values.to_numpy().reshape(rows.num_rows, -1)
+
+    def linked(self, row: int, others: np.ndarray) -> np.ndarray:
+        a, b = self.size[row], self.size[others]
+        others = others[np.minimum(a, b) >= self.similarity * np.maximum(a, b)]
+        return others[(self.sig[others] == self.sig[row]).sum(axis=1) >= self.t]
+
+
+class _Sets:
+    """Documents of a group whose full sets have 100 * intersection >= percent * union."""
+
+    def __init__(self, rows: pa.Table, percent: int):
+        sets = [np.frombuffer(s.as_py(), np.uint64) for s in rows["set"]]
+        self.percent, self.size = percent, np.array([len(s) for s in sets])
+        names, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        self.flat, self.here = flat.astype(np.int32), np.zeros(len(names), bool)
+        self.begin = np.concatenate([[0], np.cumsum(self.size)])
+        self.owner = np.repeat(np.arange(len(sets), dtype=np.int32), self.size)
+
+    def linked(self, row: int, others: np.ndarray) -> np.ndarray:
+        a, b = self.size[row], self.size[others]
+        others = others[(100 * np.minimum(a, b) >= self.percent * np.maximum(a, b)) & (b > 0)]
+        if not len(others):
+            return others
+        own = self.flat[self.begin[row] : self.begin[row + 1]]
+        self.here[own] = True
+        part = slice(self.begin[others[0]], self.begin[others[-1] + 1])
+        both = np.bincount(self.owner[part][self.here[self.flat[part]]], minlength=len(self.size))[others]
+        self.here[own] = False
+        return others[100 * both >= self.percent * (a + self.size[others] - both)]
+
+
+def _compared(ids: np.ndarray, kernel, rows: int, after: int = 0) -> _Labels:
+    """Links of the first ``rows`` documents with those behind them, from ``after`` on."""
+    labels = _Labels(ids)
+    for r in range(rows):
+        others = np.arange(max(r + 1, after), len(ids))
+        others = others[labels.label[others] != labels.label[r]]
+        if len(others) and len(found := kernel.linked(r, others)):
+            labels.link(r, found)
+    return labels
+
+
+def _linked(rows: DataFrame, kernel, payload: list[str], pivots: int) -> DataFrame:
+    """(a, b): edges that connect all documents of each group which ``kernel`` links.
+
+    ``rows``: g (the group), id, n (its documents), blocks (into how many it is cut) and
+    ``payload``, of which ``kernel`` is made for the documents of a task. A block is
+    compared within itself after its documents have been compared with about ``pivots``
+    of the whole group, which come to all of its blocks. Documents that are linked with
+    the same pivot as most needn't be compared with each other any more; all others are
+    compared with the whole group. So a group of copies costs in proportion to its size.
+    """
+    blocks, none = F.col("blocks").cast("int"), F.array().cast("array<struct<i:int,role:int>>")
+    at = lambda i, role: F.struct(i.cast("int").alias("i"), F.lit(role).alias("role"))
+    every = lambda n: F.sequence(F.lit(0), n - 1)
+    own = F.pmod(F.xxhash64("id"), blocks)
+    pivot = (blocks > 1) & (F.pmod(F.xxhash64("id", "g"), F.ceil(F.col("n") / pivots)) == 0)
+    copies = F.concat(F.array(at(own, 1)), F.when(pivot, F.transform(every(blocks), lambda i: at(i, 0))).otherwise(none))
+    dealt = rows.select("g", "id", (blocks > 1).alias("large"), *payload, F.inline(copies))
+    dealt = dealt.repartition("g", "i").sortWithinPartitions("g", "i", "role", "id").select("g", "i", "role", "large", "id", *payload)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for here in _grouped(batches, ["g", "i"]):
+            if here.num_rows < 2 and not here["large"][0].as_py():
+                continue
+            ids, role = here["id"].to_numpy(), here["role"].to_numpy()
+            labels = _compared(ids, kernel(here), len(ids) - 1)
+            yield _found(labels.edges)
+            if here["large"][0].as_py():
+                pivot_of: dict[int, int] = {}
+                for x, i in zip(labels.label[role == 0].tolist(), ids[role == 0].tolist(), strict=True):
+                    pivot_of[x] = min(i, pivot_of.get(x, i))
+                mine = role == 1
+                yield _found(list(zip(ids[mine].tolist(), map(pivot_of.get, labels.label[mine].tolist()), strict=True)), here["g"][0].as_py())
+
+    found = cut(map_arrow(dealt, first, "g long, a long, b long"), "linked")
+    edges, labelled = found.filter("g is null").select("a", "b"), found.filter("g is not null")
+    if labelled.isEmpty():
+        return edges
+    most = labelled.filter("b is not null").groupBy("g", "b").count().groupBy("g").agg(F.max_by("b", "count").alias("most"))
+    rest = labelled.join(small(cut(most, "most")), "g", "left").filter(~F.coalesce(F.col("b") == F.col("most"), F.lit(False)))
+    rest = cut(rest.select("g", F.col("a").alias("id")).distinct(), "rest")
+    if rest.isEmpty():
+        return edges
+    sizes = cut(rest.groupBy("g").agg(F.count("*").alias("r")), "rest-sizes")
+    again = rows.join(small(sizes), "g").join(rest.withColumn("rest", F.lit(True)), ["g", "id"], "left")
+    others = F.ceil(F.col("r") * F.col("blocks") / F.col("n")).cast("int")
+    pair = lambda i, j, role: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(role).alias("role"))
+    none = F.array().cast("array<struct<i:int,j:int,role:int>>")
+    copies = F.concat(
+        F.transform(every(others), lambda j: pair(own, j, 1)),
+        F.when(F.col("rest"), F.transform(every(blocks), lambda i: pair(i, F.pmod(F.xxhash64("id"), others), 0))).otherwise(none),
+    )
+    dealt = again.select("g", "id", *payload, F.inline(copies))
+    dealt = dealt.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "role", "id").select("g", "i", "j", "role", "id", *payload)
+
+    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for here in _grouped(batches, ["g", "i", "j"]):
+            n = int((here["role"].to_numpy() == 0).sum())
+            if 0 < n < here.num_rows:
+                yield _found(_compared(here["id"].to_numpy(), kernel(here), n, n).edges)
+
+    return edges.unionByName(map_arrow(dealt, second, "g long, a long, b long").select("a", "b"))
 
 
-def _pairs_of_blocks(df: DataFrame, blocks, *key: str) -> DataFrame:
-    """Each row once for every pair (i, j) of blocks that its own block is part of."""
-    own = F.pmod(F.xxhash64("id"), F.col("blocks"))
-    df = df.withColumn("blocks", blocks.cast("long")).withColumn("own", own)
-    df = df.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    df = df.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("blocks", "own", "other")
-    return df.repartition(*key, "i", "j").sortWithinPartitions(*key, "i", "j", "id")
+def _found(pairs: list[tuple[int, int | None]], group: int | None = None) -> pa.RecordBatch:
+    a, b = ([p[i] for p in pairs] for i in (0, 1))
+    return pa.RecordBatch.from_arrays([pa.array([group] * len(pairs), pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["g", "a", "b"])
 
 
 def candidate_edges(reps: DataFrame, similarity: float, k: int = COORDINATES) -> DataFrame:
@@ -174,28 +284,8 @@ def candidate_edges(reps: DataFrame, similarity: float, k: int = COORDINATES) ->
     mine = mine.filter(F.size("shared") >= t)
     prefix = F.slice("shared", F.lit(1), F.size("shared") - (t - 1))
     posts = cut(mine.select("id", F.explode(prefix).alias("p")).select("id", "p.n", "p.pair"), "posts")
-    posts = posts.join(reps, "id")
-    dealt = _pairs_of_blocks(posts, F.ceil(F.col("n") / POSTED), "pair").drop("n")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _grouped(batches, ["pair", "i", "j"]):
-            if rows.num_rows < 2:
-                continue
-            ids, size = rows["id"].to_numpy(), rows["n_shingles"].to_numpy()
-            sig = rows["sig"].combine_chunks().values.to_numpy().reshape(len(ids), k)
-            labels = _Labels(ids)
-            for r in range(len(ids) - 1):
-                near = np.minimum(size[r], size[r + 1 :]) >= similarity * np.maximum(size[r], size[r + 1 :])
-                near &= labels.label[r + 1 :] != labels.label[r]
-                if near.any():
-                    rest = np.flatnonzero(near) + r + 1
-                    same = rest[(sig[rest] == sig[r]).sum(axis=1) >= t]
-                    if len(same):
-                        labels.link(r, same)
-            if labels.edges:
-                yield _edges(labels.edges)
-
-    return map_arrow(dealt.select("pair", "i", "j", "id", "n_shingles", "sig"), run, "a long, b long")
+    posts = posts.join(reps, "id").withColumn("blocks", F.ceil(F.col("n") / POSTED)).withColumnRenamed("pair", "g")
+    return _linked(posts, lambda rows: _Signatures(rows, similarity, t), ["n_shingles", "sig"], PIVOTS)
 
 
 def confirmed_edges(docs: DataFrame, groups: DataFrame, percent: int, key: str, text: str, words: int) -> DataFrame:
@@ -203,49 +293,18 @@ def confirmed_edges(docs: DataFrame, groups: DataFrame, percent: int, key: str,
     whose shingle sets have 100 * intersection >= percent * union, directly or over others."""
     sizes = groups.groupBy("root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
     blocks = F.greatest(F.ceil(F.col("n") / SET_DOCS), F.ceil(F.col("s") / SET_SHINGLES))
-    groups = groups.join(sizes, "root").select(F.col("node").alias("id"), "root", blocks.alias("blocks"))
+    groups = groups.join(sizes, "root").select(F.col("node").alias("id"), F.col("root").alias("g"), "n", blocks.alias("blocks"))
     groups = small(cut(groups, "groups"))
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(groups, "id")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = Shingler(words)
         for batch in batches:
-            sets = pa.array([of(t.as_py()).tobytes() for t in batch.column(3)], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], sets], ["id", "root", "blocks", "set"])
+            sets = pa.array([of(t.as_py()).tobytes() for t in batch.column(4)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], sets], ["id", "g", "n", "blocks", "set"])
 
-    sets = map_arrow(rows.select("id", "root", "blocks", "text"), shingled, "id long, root long, blocks long, set binary")
-    dealt = _pairs_of_blocks(sets, F.col("blocks"), "root")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _grouped(batches, ["root", "i", "j"]):
-            if rows.num_rows < 2:
-                continue
-            ids = rows["id"].to_numpy()
-            sets = [np.frombuffer(s.as_py(), np.uint64) for s in rows["set"]]
-            size = np.array([len(s) for s in sets])
-            names, flat = np.unique(np.concatenate(sets), return_inverse=True)
-            begin = np.concatenate([[0], np.cumsum(size)])
-            owner = np.repeat(np.arange(len(ids)), size)
-            here = np.zeros(len(names), bool)
-            labels = _Labels(ids)
-            for r in range(len(ids) - 1):
-                rest = np.arange(r + 1, len(ids))
-                small_, large = np.minimum(size[r], size[rest]), np.maximum(size[r], size[rest])
-                open_ = (labels.label[rest] != labels.label[r]) & (100 * small_ >= percent * large) & (small_ > 0)
-                if not open_.any():
-                    continue
-                own = flat[begin[r] : begin[r + 1]]
-                here[own] = True
-                tail = slice(begin[r + 1], None)
-                both = np.bincount(owner[tail][here[flat[tail]]], minlength=len(ids))[r + 1 :]
-                here[own] = False
-                linked = open_ & (100 * both >= percent * (size[r] + size[rest] - both))
-                if linked.any():
-                    labels.link(r, rest[linked])
-            if labels.edges:
-                yield _edges(labels.edges)
-
-    return map_arrow(dealt.select("root", "i", "j", "id", "set"), run, "a long, b long")
+    sets = map_arrow(rows.select("id", "g", "n", "blocks", "text"), shingled, "id long, g long, n long, blocks long, set binary")
+    return _linked(sets, lambda rows: _Sets(rows, percent), ["set"], PIVOTS)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: str = "text", words: int = WORDS, k: int = COORDINATES) -> DataFrame:
@@ -280,6 +339,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, key: str = "doc_id", tex
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``near_duplicates`` of all documents at a similarity of 0.85."""
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 

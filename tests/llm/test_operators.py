@@ -427,6 +427,9 @@ def near_corpus(seed, n=30):
 def test_near_duplicates_equal_brute_force(spark, percent, monkeypatch):
     monkeypatch.setattr(minhash, "POSTED", 4)
     monkeypatch.setattr(minhash, "SET_DOCS", 3)
+    monkeypatch.setattr(minhash, "PIVOTS", 2)
+    monkeypatch.setattr(minhash, "LONG_TEXT", 300)
+    monkeypatch.setattr(components, "HOT_DEGREE", 3)
     texts = near_corpus(percent)
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(docs_of(spark, texts), percent).collect()}
     assert got == brute_components(dict(enumerate(texts)), percent)
@@ -447,7 +450,25 @@ def test_match_threshold_bounds_the_misses():
     assert 30 <= t <= 40 and (rng.binomial(64, 0.85, 200_000) < t).sum() <= 1
 
 
-def test_components_of_chains_and_rings(spark):
+def test_a_large_group_of_near_copies_is_linked_through_pivots(spark, monkeypatch):
+    """Members differ from each other by more than from the page they come from."""
+    for name in ("POSTED", "SET_DOCS", "PIVOTS"):
+        monkeypatch.setattr(minhash, name, 8)
+    rng = random.Random(18)
+    base = [f"w{rng.randrange(5000)}" for _ in range(220)]
+    texts = []
+    for _ in range(150):
+        w = list(base)
+        for _ in range(rng.randint(0, 3)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(5000)}"
+        texts.append(" ".join(w))
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(docs_of(spark, texts), 85).collect()}
+    assert got == brute_components(dict(enumerate(texts)), 85)
+
+
+@pytest.mark.parametrize("hot", [1, 1000])
+def test_components_of_chains_and_rings(spark, hot, monkeypatch):
+    monkeypatch.setattr(components, "HOT_DEGREE", hot)
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 102), (102, 100), (7, 7), (None, 3)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 102: 100}
