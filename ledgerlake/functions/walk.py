@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import re
+import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
@@ -36,9 +38,10 @@ def walk(df: DataFrame, raw: str) -> DataFrame:
     spark = df.sparkSession
     spark.udtf.register("ledgerlake_walk_json", WalkJson)
     keep = [c for c in df.columns if c != raw]
-    df.createOrReplaceTempView("ledgerlake_walk_input")
+    view = f"ledgerlake_walk_{uuid.uuid4().hex}"
+    df.createTempView(view)
     columns = ", ".join(f"t.`{c}`" for c in keep)
-    return spark.sql(f"SELECT {columns}{', ' if keep else ''}w.* FROM ledgerlake_walk_input t, LATERAL ledgerlake_walk_json(t.`{raw}`) w")
+    return spark.sql(f"SELECT {columns}{', ' if keep else ''}w.* FROM {view} t, LATERAL ledgerlake_walk_json(t.`{raw}`) w")
 
 
 def normal_key(key: Column) -> Column:
@@ -46,6 +49,11 @@ def normal_key(key: Column) -> Column:
     return F.regexp_replace(F.lower(key), "[^a-z0-9]", "")
 
 
+def is_forbidden(key: Column, forbidden: list[str]) -> Column:
+    """Whether a field name is one of ``forbidden``, both reduced by ``normal_key``."""
+    return normal_key(key).isin([re.sub("[^a-z0-9]", "", f.lower()) for f in forbidden])
+
+
 def forbidden_fields(df: DataFrame, raw: str, forbidden: list[str]) -> DataFrame:
     """Rows of ``walk`` whose normalised key is one of ``forbidden``, at any depth."""
-    return walk(df, raw).filter(normal_key(F.col("key")).isin([f.lower() for f in forbidden]))
+    return walk(df, raw).filter(is_forbidden(F.col("key"), forbidden))

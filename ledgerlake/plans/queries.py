@@ -2,28 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.functions import scan
-from ledgerlake.functions.ids import json_array, stable_id
-from ledgerlake.operators import graph
-from ledgerlake.session import Query, cut, let, small, table
-
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
+from ledgerlake.functions import ids, scan, walk
+from ledgerlake.operators import governance, graph
+from ledgerlake.plans import datasets
+from ledgerlake.plans.catalogue import ORACLE_SQL, QUERIES, query
+from ledgerlake.session import cut, let, small, table
+from ledgerlake.streaming import recovery
 
-    return add
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 
 _IP = "(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
@@ -34,6 +23,10 @@ _SQL_PII = rf"""
   UNION ALL SELECT 'PII_PHONE', regexp_matches(text, '(^|[^0-9])(\+?1[\s.-]?)?(\([0-9]{{3}}\)|[0-9]{{3}})[\s.-][0-9]{{3}}[\s.-][0-9]{{4}}([^0-9]|$)') FROM documents
   UNION ALL SELECT 'PII_NETWORK_ADDRESS', len(list_filter(regexp_extract_all(text, '(?:^|[^0-9.])({_IP}(?:\.{_IP}){{3}})(?:[^0-9.]|$)', 1),
     lambda m: NOT (m LIKE '192.0.2.%' OR m LIKE '198.51.100.%' OR m LIKE '203.0.113.%'))) > 0 FROM documents
+  UNION ALL SELECT 'PII_PAYMENT_CARD', len(list_filter(
+    list_transform(regexp_extract_all(text, '(?:^|[^0-9])((?:[0-9][ -]?){{13,19}})(?:[^0-9]|$)', 1), lambda m: regexp_replace(m, '[^0-9]', '', 'g')),
+    lambda d: length(replace(d, d[1], '')) > 0 AND list_sum(list_transform(range(1, length(d) + 1),
+      lambda i: CASE WHEN i % 2 = 1 THEN CAST(d[length(d) - i + 1] AS INTEGER) ELSE (2 * CAST(d[length(d) - i + 1] AS INTEGER)) // 10 + (2 * CAST(d[length(d) - i + 1] AS INTEGER)) % 10 END)) % 10 = 0)) > 0 FROM documents
 """
 
 
@@ -41,7 +34,7 @@ _SQL_PII = rf"""
 def q01_pii_scan_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with personal data, by code: one pass, one row per code."""
     text = F.col("text")
-    tests = {p.code: scan.has(text, p) for p in scan.PATTERNS[:4]}
+    tests = {p.code: scan.has(text, p) for p in scan.PATTERNS if p.code.startswith("PII_")}
     counts = table(spark, sf_dir, "documents").agg(*[F.count_if(t).alias(c) for c, t in tests.items()])
     return counts.unpivot([], list(tests), "code", "documents")
 
@@ -76,10 +69,8 @@ def q03_content_hash_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     "round(1 - count(DISTINCT sha256(text)) / count(*)::DOUBLE, 6) AS duplicate_rate FROM documents"
 )
 def q04_duplicate_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per_text = table(spark, sf_dir, "documents").groupBy(F.sha2("text", 256)).count()
-    return per_text.agg(
-        F.sum("count").alias("records"), F.count("*").alias("distinct_texts"), F.round(1 - F.count("*") / F.sum("count"), 6).alias("duplicate_rate")
-    )
+    rate = governance.duplicate_rate(table(spark, sf_dir, "documents").select("text"), "text")
+    return rate.select("records", F.col("distinct_records").alias("distinct_texts"), F.round("duplicate_rate", 6).alias("duplicate_rate"))
 
 
 @query("""
@@ -90,14 +81,11 @@ FROM events
 """)
 def q05_ledger_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as ledger records: stable id, coalesced fields, second-precision UTC time."""
-    e = table(spark, sf_dir, "events")
-    return e.select(
-        stable_id("d01", F.col("event_id").cast("string")).alias("record_id"),
-        F.concat(F.lit("agent-"), F.col("user_id")).alias("actor_id"),
-        F.coalesce(F.nullif("event_type", F.lit("")), F.lit("unknown")).alias("event_type"),
-        F.date_format(F.date_trunc("second", "ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("observed_at"),
-        "event_id",
+    e = table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("source_event_id"), F.concat(F.lit("agent-"), F.col("user_id")).alias("actor"), F.coalesce(F.nullif("event_type", F.lit("")), F.lit("unknown")).alias("event_type"),
+        "ts", F.lit(None).cast("string").alias("text"), "event_id",
     )
+    return datasets.ledger(e, "event_id").drop("summary")
 
 
 @query("""
@@ -209,16 +197,12 @@ FROM (SELECT l_orderkey, l_returnflag, count(*)::DOUBLE AS c FROM lineitem GROUP
 """)
 def q13_vote_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entropy and pairwise agreement of the labels of an item, in two aggregations."""
-    c = F.col("c")
-    n = F.sum("c")
-    votes = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_returnflag").agg(F.count("*").cast("double").alias("c"))
-    pairs = F.when(n < 2, F.lit(1.0)).otherwise(F.sum(c * (c - 1) / 2) / (n * (n - 1) / 2))
-    return votes.groupBy("l_orderkey").agg(
-        n.cast("long").alias("votes"),
-        F.round(F.abs(F.log2(n) - F.sum(c * F.log2(c)) / n), 6).alias("entropy_bits"),
-        F.round(pairs, 6).alias("agreement"),
-        (F.count("*") == 1).alias("unanimous"),
-    )
+    return _agreement(spark, sf_dir).select("l_orderkey", "votes", "entropy_bits", F.col("pairwise_agreement").alias("agreement"), "unanimous")
+
+
+def _agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judgments = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("record_id"), F.col("l_returnflag").alias("label"), F.lit(True).alias("consented"))
+    return datasets.agreement(judgments, least=1).withColumnRenamed("record_id", "l_orderkey")
 
 
 @query("""
@@ -228,10 +212,8 @@ WHERE r = 1 GROUP BY 1 HAVING count(*) = 1
 """)
 def q14_majority_no_tie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The label with most votes; none where the first place is shared."""
-    votes = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_returnflag").count()
-    top = votes.withColumn("r", F.rank().over(Window.partitionBy("l_orderkey").orderBy(F.desc("count")))).filter("r = 1")
-    one = top.groupBy("l_orderkey").agg(F.min("l_returnflag").alias("label"), F.min("count").alias("votes"), F.count("*").alias("firsts"))
-    return one.filter("firsts = 1").drop("firsts")
+    label = F.col("gold_label")
+    return _agreement(spark, sf_dir).filter(label.isNotNull()).select("l_orderkey", label.alias("label"), F.try_element_at("vote_counts", label).alias("votes"))
 
 
 _VOTE = "CASE WHEN c_acctbal > 5000 THEN 'yes' WHEN c_acctbal < 0 THEN 'no' WHEN c_acctbal < 1000 THEN 'abstain' END"
@@ -282,15 +264,11 @@ WHERE control_value <> treatment_value
 def q17_counterfactual_contrast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaves that differ between two branches of a record; both have the same paths."""
     item = table(spark, sf_dir, "lineitem")
-    leaf = lambda path, a, b: F.struct(F.lit(path).alias("path"), a.cast("long").alias("control_value"), b.cast("long").alias("treatment_value"))
     after = F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")) * 100)
-    leaves = F.array(
-        leaf("/price", _cents("l_extendedprice"), after),
-        leaf("/discount", F.lit(0), _cents("l_discount")),
-        leaf("/quantity", F.col("l_quantity"), F.col("l_quantity")),
-    )
-    differ = F.filter(leaves, lambda x: x["control_value"] != x["treatment_value"])
-    return item.select("l_orderkey", "l_linenumber", F.inline(differ))
+    state = lambda *values: F.map_from_arrays(F.array(*[F.lit(p) for p in ("/price", "/discount", "/quantity")]), F.array(*[v.cast("long") for v in values]))
+    control = state(_cents("l_extendedprice"), F.lit(0), F.col("l_quantity"))
+    differ = datasets.contrast(control, state(after, _cents("l_discount"), F.col("l_quantity")))
+    return item.select("l_orderkey", "l_linenumber", F.inline(differ)).drop("numeric_delta")
 
 
 @query("""
@@ -414,10 +392,25 @@ def q24_manifest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("SELECT doc_id, n_chars FROM documents WHERE doc_id BETWEEN 150 AND 420")
+@query("""
+WITH s AS (SELECT doc_id // 100 AS shard, min(doc_id) AS min_key, max(doc_id) AS max_key, count(*) AS records FROM documents GROUP BY 1),
+r AS (SELECT i AS range_no, a + i * (b - a + 1) // 8 AS low, a + (i + 1) * (b - a + 1) // 8 - 1 AS high FROM (SELECT min(doc_id) AS a, max(doc_id) AS b FROM documents), range(8) t(i))
+SELECT range_no, shard, CAST(max_key < low OR min_key > high AS BOOLEAN) AS pruned, (SELECT count(*) FROM documents d WHERE d.doc_id // 100 = s.shard AND d.doc_id BETWEEN low AND high) AS hits
+FROM s, r
+""")
 def q25_zone_map_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A key range: the predicate reaches the scan, whose row-group ranges are the zone map."""
-    return table(spark, sf_dir, "documents").filter(F.col("doc_id").between(150, 420)).select("doc_id", "n_chars")
+    """Eight ranges that span the keys against the zone map (least and greatest key) of every
+    shard: which shards each range can leave out, and how many rows it finds in the others."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.floor(F.col("doc_id") / 100).alias("shard"))
+    zones = d.groupBy("shard").agg(F.min("doc_id").alias("min_key"), F.max("doc_id").alias("max_key"))
+    a, b = d.agg(F.min("doc_id"), F.max("doc_id")).first()
+    size = 0 if a is None else b - a + 1
+    bounds = [((a or 0) + i * size // 8, (a or 0) + (i + 1) * size // 8 - 1) for i in range(8)]
+    ranges = F.explode(F.array(*[F.struct(F.lit(i).cast("long").alias("range_no"), F.lit(x).cast("long").alias("low"), F.lit(y).cast("long").alias("high")) for i, (x, y) in enumerate(bounds)]))
+    mapped = zones.withColumn("r", ranges).select("shard", "min_key", "max_key", "r.*").withColumn("pruned", (F.col("max_key") < F.col("low")) | (F.col("min_key") > F.col("high")))
+    own = F.coalesce(*[F.when(F.col("doc_id").between(x, y), F.lit(i).cast("long")) for i, (x, y) in enumerate(bounds)])
+    hits = d.groupBy("shard", own.alias("range_no")).agg(F.count("*").alias("n"))
+    return mapped.join(hits, ["shard", "range_no"], "left").select("range_no", "shard", "pruned", F.coalesce("n", F.lit(0)).alias("hits"))
 
 
 @query("""
@@ -490,8 +483,7 @@ def q30_fork_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT doc_id, n_chars FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND toxic = 1)")
 def q31_tombstone_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is served: records without those that a tombstone withdraws."""
-    gone = table(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id")
-    return table(spark, sf_dir, "documents").select("doc_id", "n_chars").join(gone, "doc_id", "left_anti")
+    return governance.served(table(spark, sf_dir, "documents").select("doc_id", "n_chars"), table(spark, sf_dir, "labels").filter("toxic = 1"), "doc_id")
 
 
 @query("""
@@ -516,9 +508,9 @@ SELECT regexp_replace(lower(k), '[^a-z0-9]', '', 'g') AS field, count(*) AS occu
 FROM (SELECT unnest(json_keys(props)) AS k FROM events) GROUP BY 1
 """)
 def q33_forbidden_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keys = table(spark, sf_dir, "events").select(F.explode(F.json_object_keys("props")).alias("k"))
-    field = F.regexp_replace(F.lower("k"), "[^a-z0-9]", "")
-    return keys.groupBy(field.alias("field")).agg(F.count("*").alias("occurrences")).withColumn("forbidden", F.col("field").isin("k", "secret"))
+    fields = walk.walk(table(spark, sf_dir, "events").select("event_id", "props"), "props").filter("key is not null")
+    found = fields.groupBy(walk.normal_key(F.col("key")).alias("field")).agg(F.count("*").alias("occurrences"))
+    return found.withColumn("forbidden", walk.is_forbidden(F.col("field"), ["K", "sec_ret"]))
 
 
 @query("SELECT event_type, CAST(sum(CAST(json_extract_string(props, '/k') AS BIGINT)) AS BIGINT) AS total, count(json_extract_string(props, '/k')) AS found FROM events GROUP BY 1")
@@ -543,7 +535,8 @@ def q35_transcript_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT user_id, max(event_id) AS epoch, arg_max(event_type, event_id) AS holder FROM events GROUP BY 1")
 def q36_lease_winner(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.max("event_id").alias("epoch"), F.max_by("event_type", "event_id").alias("holder"))
+    leases = table(spark, sf_dir, "events").select(F.col("user_id").alias("resource"), F.col("event_type").alias("holder"), F.col("event_id").alias("epoch"))
+    return recovery.lease_holders(leases).withColumnRenamed("resource", "user_id")
 
 
 @query("SELECT event_id // 3 AS batch_id, count(*) AS receipts, count(DISTINCT sha256(event_type)) > 1 AS conflict FROM events GROUP BY 1")
@@ -559,8 +552,8 @@ _ROUTE = "CASE WHEN text IS NULL OR text = '' THEN 'empty' WHEN n_chars <> lengt
 @query(f"SELECT doc_id, {_ROUTE} AS reason, {_ROUTE} = 'ok' AS ok FROM documents")
 def q38_dlq_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with the reason for which they go to the dead letters, or ok."""
-    reason = F.expr(_ROUTE)
-    return table(spark, sf_dir, "documents").select("doc_id", reason.alias("reason"), (reason == "ok").alias("ok"))
+    good, dead = recovery.route(table(spark, sf_dir, "documents"), F.nullif(F.expr(_ROUTE), F.lit("ok")))
+    return good.select("doc_id", F.lit("ok").alias("reason"), F.lit(True).alias("ok")).unionByName(dead.select("doc_id", "reason", F.lit(False).alias("ok")))
 
 
 @query("""
@@ -570,10 +563,10 @@ FROM (SELECT conv_id, role, min(turn) AS f FROM conversations GROUP BY 1, 2)
 """)
 def q39_alias_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Speakers numbered by their first turn, and a pseudonym by hash."""
-    first = table(spark, sf_dir, "conversations").groupBy("conv_id", "role").agg(F.min("turn").alias("f"))
-    n = F.row_number().over(Window.partitionBy("conv_id").orderBy("f"))
-    hashed = F.substring(F.sha2(json_array(F.col("conv_id").cast("string"), F.col("role")), 256), 1, 16)
-    return first.select("conv_id", "role", F.format_string("speaker-%03d", n).alias("alias"), F.concat(F.lit("reviewer-"), hashed).alias("reviewer"))
+    turns = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("t"))
+    turns = turns.withColumn("role", F.transform("t", lambda x: x["role"])).withColumn("alias", datasets.pseudonyms(F.col("role"), "speaker"))
+    pairs = turns.select("conv_id", F.inline(F.array_distinct(F.arrays_zip("role", "alias"))))
+    return pairs.withColumn("reviewer", ids.pseudonym("reviewer", F.col("conv_id").cast("string"), F.col("role")))
 
 
 @query("""
@@ -609,9 +602,8 @@ FROM (SELECT doc_id, left(text, instr(text, '@') - 1) AS b FROM documents WHERE
 def q42_text_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line and column of the first @ of a text."""
     d = table(spark, sf_dir, "documents").filter(F.contains("text", F.lit("@")))
-    before = F.substring_index("text", "@", 1)
-    line = F.length(before) - F.length(F.replace(before, F.lit("\n"), F.lit(""))) + 1
-    return d.select("doc_id", line.alias("line"), (F.length(F.substring_index(before, "\n", -1)) + 1).alias("col"))
+    first = F.get(scan.located(F.col("text"), scan.Pattern("AT", "@", "@")), 0)
+    return d.select("doc_id", first["line"].alias("line"), first["column"].alias("col"))
 
 
 @query("""
@@ -787,3 +779,6 @@ def q50_record_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = d.select(F.col("doc_id").alias("path"), F.lit(0).alias("line"), F.to_json(record).alias("json"))
     stored = labels.select(F.explode(F.array(F.lit("visible-transcript"), F.lit("public-deliberation"))).alias("role"), F.sha2(F.col("doc_id").cast("string"), 256).alias("sha256"))
     return record_findings(records, stored, Policy(**_RECORD_POLICY)).select(F.col("path").alias("doc_id"), "code")
+
+
+from ledgerlake.plans import audits as _audits  # noqa: E402, F401  (registers its queries)
