@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -32,3 +32,26 @@ def ballot_errors(ballots: DataFrame, members: DataFrame, by: list[str]) -> Data
     unknown = ballots.join(members.select(*key).distinct(), key, "left_anti").select(*key, F.lit("VOTER_INELIGIBLE").alias("code"))
     twice = ballots.groupBy(*key).count().filter("count > 1").select(*key, F.lit("VOTER_DUPLICATE").alias("code"))
     return unknown.unionByName(twice).distinct()
+
+
+def needed(percent: Column, members: Column) -> Column:
+    """The least whole number of members that is ``percent`` of them."""
+    return F.floor((percent * members + 99) / 100).cast("int")
+
+
+def clamped(c: Column, low: int = 0, high: int = 100) -> Column:
+    return F.least(F.greatest(c, F.lit(low)), F.lit(high))
+
+
+def ballots(members: DataFrame, by: str, member: str, mode: str, percent: str, quorum: str) -> DataFrame:
+    """``members`` with vote: the ballots of a council that ends as its ``mode`` says.
+
+    approved: as many yes as its ``percent`` needs, the rest no. quorum_failure: one vote
+    fewer than its ``quorum`` needs, but one at least, the rest null. Others: all no.
+    """
+    w = Window.partitionBy(by).orderBy(member)
+    n, i = F.count("*").over(Window.partitionBy(by)), F.row_number().over(w)
+    enough = i <= needed(F.col(percent), n)
+    voting = i <= F.greatest(F.lit(1), needed(F.col(quorum), n) - 1)
+    vote = F.when(F.col(mode) == "approved", F.when(enough, "yes").otherwise("no")).when(F.col(mode) == "quorum_failure", F.when(voting, "yes")).otherwise(F.lit("no"))
+    return members.withColumn("vote", vote)

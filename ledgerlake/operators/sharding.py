@@ -354,3 +354,61 @@ def _total_findings(lines: DataFrame, manifest: dict, namespace: str) -> DataFra
         found.append((None, None, "CONTENT_HASH"))
     spark = lines.sparkSession
     return spark.createDataFrame(found, "path string, line_no long, code string")
+
+
+def key_order_findings(lines: DataFrame, *key: str) -> DataFrame:
+    """(path, line_no, code) where logical keys don't rise from line to line, across shards too.
+
+    ``lines`` has path (``part-NNNNN.jsonl``), line_no and the columns ``key``. A shard's
+    number is in its name, so its first line meets the last of the shard before by a
+    join: no task sees more than one shard's lines.
+    """
+    here = F.struct(*key)
+    before = F.lag(here).over(Window.partitionBy("path").orderBy("line_no"))
+    inside = lines.withColumn("before", before).filter(F.col("before").isNotNull() & ~(F.col("before") < here)).select("path", "line_no")
+    number = F.regexp_extract("path", r"part-([0-9]+)", 1).cast("long")
+    edges = lines.groupBy("path").agg(F.min_by(here, "line_no").alias("first"), F.max_by(here, "line_no").alias("last"), F.min("line_no").alias("line_no")).withColumn("n", number)
+    ahead = edges.select((F.col("n") + 1).alias("n"), F.col("last").alias("before"))
+    across = edges.join(ahead, "n").filter(~(F.col("before") < F.col("first"))).select("path", "line_no")
+    return inside.unionByName(across).withColumn("code", F.lit("KEY_ORDER"))
+
+
+def shard_edge_findings(lines: DataFrame, declared: DataFrame, key: str) -> DataFrame:
+    """(path, code) of shards whose first or last key isn't the declared one (path, first_key, last_key), or that aren't there."""
+    seen = lines.groupBy("path").agg(F.min_by(key, "line_no").alias("a"), F.max_by(key, "line_no").alias("b"))
+    j = declared.join(seen, "path", "left")
+    rules = {
+        "SHARD_MISSING": F.col("a").isNull(),
+        "SHARD_FIRST_KEY": F.col("a").isNotNull() & ~F.col("a").eqNullSafe(F.col("first_key")),
+        "SHARD_LAST_KEY": F.col("b").isNotNull() & ~F.col("b").eqNullSafe(F.col("last_key")),
+    }
+    codes = F.filter(F.array(*[F.when(bad, F.lit(c)) for c, bad in rules.items()]), lambda c: c.isNotNull())
+    return j.select("path", F.explode(codes).alias("code"))
+
+
+#: what a manifest has to say, and for some fields what
+HEADER = {
+    "canonicalBytes": None, "compression": "none", "contentHash": None, "encoding": "utf-8", "fragmentTargetBytes": None, "keyPath": None, "layoutBytes": None,
+    "lineMaxBytes": None, "lines": None, "records": None, "schemaVersion": None, "shardMaxBytes": None, "shardTargetBytes": None, "shards": None, "unicodeNormalization": "NFC",
+}
+
+
+def header_findings(manifest: dict, namespace: str, limits: Limits = Limits()) -> list[str]:
+    """Codes of what is wrong with a manifest itself: missing fields, versions, and sizes that
+    aren't whole, don't nest or exceed ``limits``."""
+    out = [f"HEADER_MISSING:{f}" for f in HEADER if f not in manifest]
+    out += [f"HEADER_VALUE:{f}" for f, v in {**HEADER, "schemaVersion": f"{namespace}.{MANIFEST_KIND}"}.items() if v is not None and f in manifest and manifest[f] != v]
+    names = ("fragmentTargetBytes", "lineMaxBytes", "shardTargetBytes", "shardMaxBytes")
+    whole = {n: manifest.get(n) for n in names}
+    wrong = [n for n, v in whole.items() if n in manifest and (isinstance(v, bool) or not isinstance(v, int) or v < 1)]
+    out += [f"HEADER_SIZE:{n}" for n in wrong]
+    if not wrong and all(n in manifest for n in names):
+        nested = [("shardTargetBytes", whole["shardMaxBytes"]), ("shardMaxBytes", limits.cap), ("lineMaxBytes", min(whole["shardMaxBytes"], limits.line)), ("fragmentTargetBytes", whole["lineMaxBytes"])]
+        out += [f"HEADER_LIMIT:{n}" for n, most in nested if whole[n] > most]
+    key = manifest.get("keyPath")
+    return sorted(out + ([] if key is None or (isinstance(key, str) and key) else ["HEADER_VALUE:keyPath"]))
+
+
+def summary(manifest: dict) -> dict:
+    """What a verified dataset is: its digest, counts and sizes."""
+    return {"content_hash": manifest["contentHash"], "shards": len(manifest["shards"]), **{k: manifest[f] for k, f in {"records": "records", "lines": "lines", "canonical_bytes": "canonicalBytes", "layout_bytes": "layoutBytes"}.items()}}

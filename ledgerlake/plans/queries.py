@@ -782,3 +782,4 @@ def q50_record_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 from ledgerlake.plans import audits as _audits  # noqa: E402, F401  (registers its queries)
+from ledgerlake.plans import shaped as _shaped  # noqa: E402, F401  (registers its queries)

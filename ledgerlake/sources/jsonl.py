@@ -111,9 +111,26 @@ def write_shards(rows: DataFrame, manifest: dict, folder: str, resume: bool = Fa
 
 def read_manifest(spark: SparkSession, folder: str) -> dict:
     """The manifest of a folder; refused unless its bytes are canonical JSON and one LF."""
-    text = spark.read.text(f"{folder}/manifest.json", wholetext=True).first().value
+    return _canonical_file(spark, f"{folder}/manifest.json")
+
+
+def resolve_manifest(spark: SparkSession, root: str, manifest: str | dict = "manifest.json") -> tuple[str, dict]:
+    """(folder, manifest): a mapping is taken as it is, once it has a canonical form; a path is
+    of a file, and relative to ``root`` unless it is absolute; ``root`` may itself be the file."""
+    if isinstance(manifest, dict):
+        return root, json.loads(canonical_text(manifest))
+    fs, path = _hadoop(spark, root)
+    if fs.exists(path(root)) and fs.getFileStatus(path(root)).isFile():
+        file = root
+    else:
+        file = manifest if path(manifest).isAbsolute() else f"{root}/{manifest}"
+    return file.rsplit("/", 1)[0], _canonical_file(spark, file)
+
+
+def _canonical_file(spark: SparkSession, file: str) -> dict:
+    text = spark.read.text(file, wholetext=True).first().value
     value = json.loads(text)
-    if canonical_text(value) + "\n" != text:
+    if not isinstance(value, dict) or canonical_text(value) + "\n" != text:
         raise ValueError("the manifest isn't canonical")
     return value
 

@@ -1,10 +1,10 @@
-"""A catalogue page: a small table as an HTML document."""
+"""The catalogue: its page (a small table as an HTML document) and its files."""
 
 from __future__ import annotations
 
 import html
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -28,3 +28,10 @@ def run_manifest(records: DataFrame, line: str, order: list[str], dataset: str,
     from ledgerlake.operators.sharding import content_hash
 
     return {"count": records.count(), "datasetId": dataset, "seed": seed, "sha256": content_hash(records.withColumn("body", F.col(line)), *order)}
+
+
+def catalogue(spark: SparkSession, folder: str, entries: str = "datasets") -> tuple[DataFrame, dict]:
+    """(a row per entry of ``catalog.json``, what ``latest.json`` points at). Both are JSON files of one object."""
+    whole = spark.read.option("multiLine", True)
+    listed = whole.json(f"{folder}/catalog.json").select(F.explode(entries).alias("e")).select("e.*")
+    return listed, whole.json(f"{folder}/latest.json").first().asDict(True)
