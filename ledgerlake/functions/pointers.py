@@ -18,9 +18,25 @@ def parts(path: str) -> list[str]:
 
 
 def variant_path(path: str) -> str:
-    """The path as VARIANT functions take it; digits are an index."""
-    step = lambda p: f"[{p}]" if p.isdigit() else "['" + p.replace("\\", "\\\\").replace("'", "\\'") + "']"
-    return "$" + "".join(step(p) for p in parts(path))
+    """The path as VARIANT functions take it; digits are an index. There a name can't be empty,
+    nor hold a quote of either kind, or a question mark, together with a dot or bracket: ValueError."""
+    return "$" + "".join(_step(p) for p in parts(path))
+
+
+def _step(name: str) -> str:
+    if name.isdigit():
+        return f"[{name}]"
+    for shape, without in (("['{}']", "'?"), ('["{}"]', '"?'), (".{}", ".[")):
+        if name and not set(without) & set(name):
+            return shape.format(name)
+    raise ValueError(f"no VARIANT path leads to {name!r}")
+
+
+def variant_step(name: Column) -> Column:
+    """One step of such a path by a column's value; null where no path leads there."""
+    shaped = lambda bad, a, b: F.when((name != "") & ~name.rlike(bad), F.concat(F.lit(a), name, F.lit(b)))
+    number = F.when(name.rlike(r"^[0-9]+$"), F.concat(F.lit("["), name, F.lit("]")))
+    return F.coalesce(number, shaped("['?]", "['", "']"), shaped('["?]', '["', '"]'), shaped(r"[.\[]", ".", ""))
 
 
 def extract(raw: Column, path: str, kind: str = "string") -> Column:

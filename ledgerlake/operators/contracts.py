@@ -247,3 +247,17 @@ def contract_findings(docs: DataFrame, key: str, column: str, schemas: dict[str,
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), F.col(column).alias("raw")).mapInArrow(run, f"key {kind}, found array<struct<path:string,code:string>>")
     return rows.select(F.col("key").alias(key), F.inline("found"))
+
+
+def trust_harness(golden: DataFrame, negatives: DataFrame, key: str, check: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Whether rules accept what is right and refuse what is not, for the right reason.
+
+    golden: key and a document; negatives: the same and expected, the code that the fault
+    planted in it must give. ``check`` makes findings (key, code) of documents. Returns
+    key, expected (null for golden ones), codes, ok.
+    """
+    both = golden.withColumn("expected", F.lit(None).cast("string")).unionByName(negatives)
+    found = check(both.drop("expected")).groupBy(key).agg(F.array_sort(F.collect_set("code")).alias("codes"))
+    j = both.select(key, "expected").join(found, key, "left").withColumn("codes", F.coalesce("codes", F.array().cast("array<string>")))
+    ok = F.when(F.col("expected").isNull(), F.size("codes") == 0).otherwise(F.array_contains("codes", F.col("expected")))
+    return j.select(key, "expected", "codes", ok.alias("ok"))

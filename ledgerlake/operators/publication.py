@@ -549,3 +549,15 @@ def report(findings: DataFrame, most: int = 200) -> dict:
     shown = findings.withColumn("path", F.when(hidden, F.lit("<redacted-path>")).otherwise(path)).select(*columns).distinct()
     rows = [r.asDict() for r in shown.orderBy(*columns).limit(most).collect()]
     return {"ok": not rows, "findingCount": shown.count() if len(rows) == most else len(rows), "findings": rows}
+
+
+def exit_code(result: dict | None) -> int:
+    """What a command ends with: 0 if nothing was found, 1 with findings, 2 if it couldn't be run (no report)."""
+    return 2 if result is None else 0 if result["ok"] else 1
+
+
+def as_text(result: dict) -> str:
+    """A report as lines, ``path:line:column code``; places that a finding lacks are 0."""
+    rows = [f"{f['path']}:{f.get('line') or 0}:{f.get('column') or 0} {f['code']}" for f in result["findings"]]
+    more = result["findingCount"] - len(rows)
+    return "\n".join([*rows, *([f"and {more} more"] if more else []), "ok" if result["ok"] else f"{result['findingCount']} findings"])

@@ -350,6 +350,13 @@ _ORDER_CONTRACT = {
 }
 
 
+def contract_documents(orders: DataFrame) -> DataFrame:
+    """Orders as documents, each with what its variant adds."""
+    variant = F.element_at(F.array(*[F.lit(v) for v, _, _ in _VARIANTS]), (F.col("o_orderkey") % len(_VARIANTS) + 1).cast("int"))
+    raw = F.concat(F.lit('{"schemaVersion":"order/v1","id":'), F.col("o_orderkey").cast("string"), variant, F.lit("}"))
+    return orders.select("o_orderkey", raw.alias("raw"))
+
+
 @query(f"""
 SELECT o_orderkey, path, code FROM orders JOIN (VALUES {", ".join(f"({i}, '{p}', '{c}')" for i, (_, p, c) in enumerate(_VARIANTS) if c)}) v(k, path, code) ON o_orderkey % {len(_VARIANTS)} = k
 """)
@@ -357,9 +364,7 @@ def q70_contract_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as documents of which each variant breaks another keyword of a contract."""
     from ledgerlake.operators.contracts import contract_findings
 
-    variant = F.element_at(F.array(*[F.lit(v) for v, _, _ in _VARIANTS]), (F.col("o_orderkey") % len(_VARIANTS) + 1).cast("int"))
-    raw = F.concat(F.lit('{"schemaVersion":"order/v1","id":'), F.col("o_orderkey").cast("string"), variant, F.lit("}"))
-    return contract_findings(table(spark, sf_dir, "orders").select("o_orderkey", raw.alias("raw")), "o_orderkey", "raw", {"order/v1": _ORDER_CONTRACT})
+    return contract_findings(contract_documents(table(spark, sf_dir, "orders")), "o_orderkey", "raw", {"order/v1": _ORDER_CONTRACT})
 
 
 @query("SELECT sha256(nfc_normalize(text)) AS text_sha256, count(*) AS records FROM documents GROUP BY 1")

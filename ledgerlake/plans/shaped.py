@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import council, exemptions, receipts, sharding
+from ledgerlake.operators import contracts, council, exemptions, receipts, sharding
 from ledgerlake.plans import shaping
+from ledgerlake.plans.audits import _ORDER_CONTRACT, _VARIANTS, contract_documents
 from ledgerlake.plans.catalogue import query
 from ledgerlake.session import shared_dir, table
 from ledgerlake.streaming import checkpoints
@@ -477,3 +478,15 @@ def q98_state_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = F.map_from_entries(F.array(F.struct(F.lit("/a"), u), F.struct(F.lit("/b/c"), u), F.struct(F.lit("/d/e"), u), F.struct(F.lit("/d/f"), u)))
     after = checkpoints.set_path(checkpoints.increment_path(state, F.lit("/b/c"), F.lit(5)), F.lit("/d"), F.lit(2))
     return table(spark, sf_dir, "events").select("user_id").distinct().select(u, F.explode(after).alias("path", "value"))
+
+
+@query(f"""
+SELECT o_orderkey, code AS expected, true AS ok FROM orders JOIN (VALUES {", ".join(f"({i}, {_sql(c)})" for i, (_, _, c) in enumerate(_VARIANTS))}) v(k, code) ON o_orderkey % {len(_VARIANTS)} = k
+""")
+def q99_trust_harness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as documents that a contract has to accept, or to refuse for the fault planted in them."""
+    docs = contract_documents(table(spark, sf_dir, "orders"))
+    code = F.element_at(F.array(*[F.lit(c) for _, _, c in _VARIANTS]), (F.col("o_orderkey") % len(_VARIANTS) + 1).cast("int"))
+    golden, faulty = docs.filter(code.isNull()), docs.filter(code.isNotNull()).withColumn("expected", code)
+    check = lambda d: contracts.contract_findings(d, "o_orderkey", "raw", {"order/v1": _ORDER_CONTRACT})
+    return contracts.trust_harness(golden, faulty, "o_orderkey", check).select("o_orderkey", "expected", "ok")

@@ -7,13 +7,15 @@ a code in ``errors`` or ``error``; no row is lost.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.canonical import canonical_json
 from ledgerlake.functions.ids import json_string_digest, pseudonym, stable_id, utc_seconds
 from ledgerlake.functions.paths import is_safe_relative
-from ledgerlake.functions.pointers import variant_path
+from ledgerlake.functions.pointers import variant_path, variant_step
 from ledgerlake.functions.walk import walk
 
 # fixed values: what a record says where its source is silent, and what may not leave a blind review
@@ -330,15 +332,13 @@ def project(df: DataFrame, raw: str, recipe: dict[str, str], *keep: str) -> Data
     ``{column}`` in a pointer is that column's value in the row. A pointer that leads
     nowhere gives null.
     """
-    import re
 
     def read(pointer: str) -> Column:
         steps = []
         for step in pointer.lstrip("/").split("/") if pointer not in ("", "/") else []:
             name = re.fullmatch(r"\{(\w+)\}", step)
             if name:
-                c = F.col(name[1]).cast("string")
-                steps.append(F.when(c.rlike(r"^\d+$"), F.concat(F.lit("["), c, F.lit("]"))).otherwise(F.concat(F.lit("['"), F.regexp_replace(c, r"(['\\])", r"\\$1"), F.lit("']"))))
+                steps.append(variant_step(F.col(name[1]).cast("string")))
             else:
                 steps.append(F.lit(variant_path("/" + step)[1:]))
         return F.to_json(F.try_variant_get(F.try_parse_json(raw), F.concat(F.lit("$"), *steps), "variant"))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.canonical import canonical_text, parsed
+from ledgerlake.session import cut
 
 
 def shard_lines(spark: SparkSession, folder: str, pattern: str = "*.jsonl") -> DataFrame:
@@ -142,3 +143,11 @@ def pruned(spark: SparkSession, folder: str, manifest: dict, low: str, high: str
     if not names:
         return spark.createDataFrame([], "path string, line_no long, line string")
     return shard_lines(spark, folder, "{" + ",".join(names) + "}")
+
+
+def write_split(rows: DataFrame, is_second: Column, first: str, second: str) -> None:
+    """One table as two JSON Lines folders, such as candidates and labels: rows for which ``is_second``
+    is true go to ``second``, all others to ``first``. What made them runs once."""
+    both = cut(rows.withColumn("__second", F.coalesce(is_second, F.lit(False))), "split")
+    for folder, mine in ((first, ~F.col("__second")), (second, F.col("__second"))):
+        both.filter(mine).drop("__second").write.mode("overwrite").json(folder)
