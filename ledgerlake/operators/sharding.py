@@ -177,9 +177,10 @@ def layout(placed: DataFrame, limits: Limits) -> DataFrame:
 
     A group over the target is cut where twice the bytes before the cut are nearest to
     its own, at the first such place. A line alone may be over the target, never over
-    the cap.
+    the cap. Only places and sizes are halved; the lines get their shard by one join.
     """
-    rows = cut(placed.withColumn("group", F.lit(0).cast("long")), "groups")
+    placed = cut(placed, "placed")
+    rows = cut(placed.select("pos", "bytes", "until", F.lit(0).cast("long").alias("group")), "groups")
     if not rows.filter(F.col("bytes") > limits.cap).isEmpty():
         raise ShardingError("a line is over the cap of a shard")
     while True:
@@ -197,7 +198,7 @@ def layout(placed: DataFrame, limits: Limits) -> DataFrame:
         rows = cut(split.withColumn("group", named).drop("at"), "groups")
     names = rows.select("group").distinct()
     shards = names.withColumn("shard", F.row_number().over(Window.orderBy("group")) - 1)  # a row per shard
-    return rows.join(shards, "group").drop("group")
+    return placed.join(rows.join(shards, "group").select("pos", "shard"), "pos")
 
 
 def shard_entries(rows: DataFrame) -> DataFrame:
