@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import contracts, council, exemptions, receipts, sharding
-from ledgerlake.plans import shaping
+from ledgerlake.plans import datasets, shaping, simulate
 from ledgerlake.plans.audits import _ORDER_CONTRACT, _VARIANTS, contract_documents
 from ledgerlake.plans.catalogue import query
 from ledgerlake.session import shared_dir, table
@@ -490,3 +490,23 @@ def q99_trust_harness(spark: SparkSession, sf_dir: str) -> DataFrame:
     golden, faulty = docs.filter(code.isNull()), docs.filter(code.isNotNull()).withColumn("expected", code)
     check = lambda d: contracts.contract_findings(d, "o_orderkey", "raw", {"order/v1": _ORDER_CONTRACT})
     return contracts.trust_harness(golden, faulty, "o_orderkey", check).select("o_orderkey", "expected", "ok")
+
+
+@query("""
+SELECT dataset, CAST(n * per AS BIGINT) AS rows, 0 AS findings FROM (SELECT count(*) AS n FROM customer) JOIN (VALUES ('d02', 1), ('d04', 1), ('d05', 8), ('d06', 1), ('d07', 1), ('d09', 1), ('d10', 9)) v(dataset, per) ON true
+""")
+def q100_simulated_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many simulated records of each dataset as there are customers, and what their verification finds."""
+    n = table(spark, sf_dir, "customer").count()
+    nodes, edges = simulate.lineages(spark, 7, n)
+    made = {
+        "d02": (simulate.counterfactuals(spark, 7, n), datasets.counterfactual_findings), "d04": (simulate.trajectories(spark, 7, n), datasets.trajectory_findings), "d05": (simulate.lives(spark, 7, n), datasets.lifetime_findings),
+        "d06": (simulate.pairs(spark, 7, n), datasets.paired_findings), "d07": (simulate.tapes(spark, 7, n), datasets.tape_findings), "d09": (simulate.recoveries(spark, 7, n), datasets.recovery_findings),
+        "d10": (nodes, lambda d: datasets.lineage_findings(d, edges)),
+    }
+    out = None
+    for name, (rows, check) in made.items():
+        found = check(rows).agg(F.count("*").cast("int").alias("findings"))
+        one = rows.agg(F.lit(name).alias("dataset"), F.count("*").alias("rows")).join(found.withColumn("dataset", F.lit(name)), "dataset")
+        out = one if out is None else out.unionByName(one)
+    return out

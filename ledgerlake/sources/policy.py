@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import subprocess
 from pathlib import Path
 
@@ -85,9 +86,30 @@ def load_registry(folder: str, versions: dict[str, str]) -> Registry:
     return Registry({v: strict_parse((Path(folder) / f).read_text(encoding="utf-8"), "formal") for v, f in versions.items()})
 
 
+def _files(spark: SparkSession, folder: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    inside = "^(?:file:)?/*" + re.escape(folder.removeprefix("file://").strip("/")) + "/(.*)$"
+    return files.withColumn("path", F.regexp_extract("path", inside, 1))
+
+
+def _links(folder: str) -> list[str]:
+    root = Path(folder.removeprefix("file://"))
+    return [str(p.relative_to(root)) for p in root.rglob("*") if p.is_symlink()] if root.is_dir() else []
+
+
 def artifacts(spark: SparkSession, folder: str, cap: int = 1_000_000) -> DataFrame:
-    """path (relative) and content of the regular files of a folder that are within the cap."""
+    """path (relative) and content of the regular files of a folder that are within the cap.
+    ``artifact_findings`` names the others."""
+    from pyspark.sql import functions as F
+
+    return _files(spark, folder).filter((F.col("length") <= cap) & ~F.col("path").isin(_links(folder))).select("path", "content")
+
+
+def artifact_findings(spark: SparkSession, folder: str, cap: int = 1_000_000) -> DataFrame:
+    """(path, code) of files that ``artifacts`` leaves out: over the cap, or, in a local checkout, links."""
     from pyspark.sql import functions as F
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).filter(F.col("length") <= cap)
-    return files.select(F.regexp_extract("path", "^(?:file:)?/*" + folder.removeprefix("file://").strip("/") + "/(.*)$", 1).alias("path"), "content")
+    large = _files(spark, folder).filter(F.col("length") > cap).select("path", F.lit("FILE_SIZE").alias("code"))
+    return large.unionByName(spark.createDataFrame([(p, "FILE_LINK") for p in _links(folder)], "path string, code string"))

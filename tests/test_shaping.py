@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import council, exemptions, publication, receipts, sharding
-from ledgerlake.plans import shaping
-from ledgerlake.sources import jsonl, site
+from ledgerlake.plans import datasets, shaping, simulate
+from ledgerlake.sources import jsonl, policy, site
 from ledgerlake.streaming import checkpoints
 
 
@@ -246,3 +246,32 @@ def test_dead_letters_hold_no_payload(spark):
     assert "payload" not in out.columns
     assert [(r.i, r.retryable, r.recovery_action, r.input_bytes) for r in out.orderBy("i").collect()] == [(1, True, "split", 6), (2, False, "human_review", 0)]
     assert checkpoints.dead_letters(d, "payload", "code", {}, "lake").filter("retryable").count() == 0
+
+
+# -- generators and files
+
+
+def test_generated_records_hold_their_rules_and_faults_are_seen(spark):
+    work = simulate.trajectories(spark, 3, 40)
+    assert {r.status for r in work.collect()} == {"succeeded", "failed"} and datasets.trajectory_findings(work).count() == 0
+    late = work.withColumn("completed_at", F.col("started_at"))
+    assert {r.code for r in datasets.trajectory_findings(late).collect()} == {"CALL_INTERVAL"}
+    faults = simulate.recoveries(spark, 3, 8)
+    assert sorted(r.fault_type for r in faults.collect()) == sorted(simulate.FAULTS * 2)
+    assert datasets.recovery_findings(faults.withColumn("fault_type", F.lit("none"))).count() == 8
+    assert simulate.recoveries(spark, 3, 3, start=5).collect() == faults.filter("record_index >= 5").collect()
+    nodes, edges = simulate.lineages(spark, 3, 30)
+    assert nodes.filter(F.size("parents") == 2).count() > 0 and datasets.lineage_findings(nodes, edges).count() == 0
+    assert {r.code for r in datasets.lineage_findings(nodes, edges.filter("relation = 'fork'")).collect()} == {"EDGE_SET"}
+    two = simulate.counterfactuals(spark, 3, 5)
+    assert {r.code for r in datasets.counterfactual_findings(two.withColumn("treatment_sha256", F.col("control_sha256"))).collect()} == {"TREATMENT_REPLAY"}
+
+
+def test_files_over_the_cap_and_links_have_a_code(spark, tmp_path):
+    folder = tmp_path / "a.b+c"
+    folder.mkdir()
+    for name, size in (("x y+%20.txt", 3), ("large", 9)):
+        (folder / name).write_bytes(b"x" * size)
+    (folder / "link").symlink_to(folder / "x y+%20.txt")
+    assert codes(policy.artifact_findings(spark, str(folder), 5)) == [("large", "FILE_SIZE"), ("link", "FILE_LINK")]
+    assert {r.path for r in policy.artifacts(spark, str(folder), 5).collect()} == {"x y+%20.txt"}
