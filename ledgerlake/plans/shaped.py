@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import contracts, council, exemptions, receipts, sharding
+from ledgerlake.operators import contracts, council, exemptions, gate, publication, receipts, sharding
 from ledgerlake.plans import datasets, shaping, simulate
 from ledgerlake.plans.audits import _ORDER_CONTRACT, _VARIANTS, contract_documents
 from ledgerlake.plans.catalogue import query
@@ -510,3 +510,37 @@ def q100_simulated_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         one = rows.agg(F.lit(name).alias("dataset"), F.count("*").alias("rows")).join(found.withColumn("dataset", F.lit(name)), "dataset")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+_GATE_POLICY = {
+    "namespace": "lake", "sources": {}, "rights": {}, "safety": {}, "quality": {}, "fields": {}, "withdrawal": {"tombstonePathPrefix": "gone/", "removalIndexPath": "removals.json"},
+    "publication": {"policyVersion": "1", "limits": {"publicationFilesHard": 10**12}, "candidatePathPrefixes": ["data/", "gone/"], "immutablePathPrefixes": ["data/kept/"]},
+}
+#: status, folder, ending and content of a changed file; what the gate finds (line, code); its route
+_CHANGED = (
+    ("A", "data/", ".json", '{"a":1}', None, None, "candidate"),
+    ("A", "data/", ".json", '{"a":1', 1, "JSON_INVALID", "candidate"),
+    ("A", "tests/fixtures/contracts/invalid/", ".json", "{", None, None, "source"),
+    ("M", "data/", ".json", '{"x":{"schemaVersion":"lake.x/v2"}}', None, None, "formal"),
+    ("M", "data/kept/", ".json", "{}", None, "RELEASE_IMMUTABLE", "candidate"),
+    ("D", "data/", ".json", None, None, "PUBLICATION_DELETE", "candidate"),
+    ("A", "src/", ".txt", None, None, "FILE_MISSING", "source"),
+    ("A", "src/", ".txt", "one\ncall 415-555-2671", 2, "PII_PHONE", "source"),
+    ("A", "src/", ".jsonl", '{}\n{"k":"415-555-2671"}\n', 2, "PII_PHONE", "source"),
+    ("A", "src/", ".jsonl", "{}\n{}\n7,\n", 3, "JSON_INVALID", "source"),
+)
+_EACH = ", ".join(f"({i}, {_sql(d)}, {_sql(e)}, CAST({_sql(line)} AS INTEGER), {_sql(c)}, {_sql(r)})" for i, (_, d, e, _, line, c, r) in enumerate(_CHANGED))
+
+
+@query(f"""
+WITH c AS (SELECT d || p_partkey || e AS path, line, code, route FROM part JOIN (VALUES {_EACH}) v(k, d, e, line, code, route) ON p_partkey % {len(_CHANGED)} = k)
+SELECT path, line, code, CAST(NULL AS VARCHAR) AS route FROM c WHERE code IS NOT NULL UNION ALL SELECT path, NULL, NULL, route FROM c
+""")
+def q101_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as changed files of every kind, through the whole gate: what it finds, and where each file goes."""
+    at = F.col("p_partkey") % len(_CHANGED) + 1
+    of = lambda n: F.element_at(F.array(*[F.lit(v[n]) for v in _CHANGED]), at.cast("int"))
+    d = table(spark, sf_dir, "part").select(of(0).alias("status"), F.concat(of(1), F.col("p_partkey").cast("string"), of(2)).alias("path"), F.lit(None).cast("string").alias("old_path"), of(3).alias("text"))
+    found, routed = gate.gate(d.select("status", "path", "old_path"), d.select("path", F.encode("text", "UTF-8").alias("content")), publication.Policy(**_GATE_POLICY))
+    none = F.lit(None)
+    return found.withColumn("route", none.cast("string")).unionByName(routed.select("path", none.cast("int").alias("line"), none.cast("string").alias("code"), "route"))

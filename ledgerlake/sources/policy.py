@@ -111,5 +111,5 @@ def artifact_findings(spark: SparkSession, folder: str, cap: int = 1_000_000) ->
     """(path, code) of files that ``artifacts`` leaves out: over the cap, or, in a local checkout, links."""
     from pyspark.sql import functions as F
 
-    large = _files(spark, folder).filter(F.col("length") > cap).select("path", F.lit("FILE_SIZE").alias("code"))
-    return large.unionByName(spark.createDataFrame([(p, "FILE_LINK") for p in _links(folder)], "path string, code string"))
+    large = _files(spark, folder).filter(F.col("length") > cap).select("path", F.lit("FILE_SIZE_LIMIT").alias("code"))
+    return large.unionByName(spark.createDataFrame([(p, "SYMLINK_FORBIDDEN") for p in _links(folder)], "path string, code string"))

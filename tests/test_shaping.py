@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import council, exemptions, publication, receipts, sharding
+from ledgerlake.operators import council, exemptions, gate, publication, receipts, sharding
 from ledgerlake.plans import datasets, shaping, simulate
 from ledgerlake.sources import jsonl, policy, site
 from ledgerlake.streaming import checkpoints
@@ -273,5 +273,25 @@ def test_files_over_the_cap_and_links_have_a_code(spark, tmp_path):
     for name, size in (("x y+%20.txt", 3), ("large", 9)):
         (folder / name).write_bytes(b"x" * size)
     (folder / "link").symlink_to(folder / "x y+%20.txt")
-    assert codes(policy.artifact_findings(spark, str(folder), 5)) == [("large", "FILE_SIZE"), ("link", "FILE_LINK")]
+    assert codes(policy.artifact_findings(spark, str(folder), 5)) == [("large", "FILE_SIZE_LIMIT"), ("link", "SYMLINK_FORBIDDEN")]
     assert {r.path for r in policy.artifacts(spark, str(folder), 5).collect()} == {"x y+%20.txt"}
+
+
+def test_gate_of_odd_files(spark):
+    policy = publication.Policy(
+        namespace="lake", sources={}, rights={}, safety={}, quality={}, fields={}, withdrawal={"tombstonePathPrefix": "gone/", "removalIndexPath": "removals.json"},
+        publication={"policyVersion": "1", "limits": {"publicationFilesHard": 9, "pullRequestDiffHardBytes": 10}, "candidatePathPrefixes": ["data/"], "immutablePathPrefixes": ["data/kept/"]},
+    )
+    sha = "4111111111111111" + "ab" * 24
+    pointer = json.dumps({"schemaVersion": "lake.catalog-release-pointer/v2", "previousReleasePointerSha256": sha}).encode()
+    files = {"a.bin": b"x\0y", "b.txt": b"\xff", "c.jsonl": b"", "data/p.json": pointer, "data/q.json": pointer, "e.json": b'{"k": "' + b"415-555" + b'-2671"'}
+    changes = made(spark, [("A", p, None) for p in [*files, "c.jsonl"]] + [("R100", "../f", "g")], "status string, path string, old_path string")
+    contents = made(spark, list(files.items()), "path string, content binary")
+    found, routed = gate.gate(changes, contents, policy, 11, made(spark, [("data/p.json",)], "path string"))
+    assert codes(found.select("path", "code")) == sorted([
+        ("../f", "FILE_MISSING"), ("../f", "PATH_UNSAFE"), (".", "PR_DIFF_LIMIT"), ("a.bin", "BINARY_FORBIDDEN"), ("b.txt", "TEXT_UTF8"),
+        ("c.jsonl", "JSON_INVALID"), ("c.jsonl", "PATH_DUPLICATE"), ("data/q.json", "PII_PAYMENT_CARD"), ("e.json", "JSON_INVALID"), ("e.json", "PII_PHONE"),
+    ])
+    assert dict(codes(routed))["data/p.json"] == "formal"
+    none, empty = gate.gate(changes.limit(0), contents.limit(0), policy)
+    assert none.filter("path != '.'").count() == 0 and empty.count() == 0
