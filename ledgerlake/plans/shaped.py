@@ -352,6 +352,29 @@ def q89_shard_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_edge_findings(lines, declared.unionByName(declared.filter(s % 5 == 0).withColumn("path", F.concat(F.lit("x"), "path"))), "key")
 
 
+@query("""
+WITH RECURSIVE l AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos, o_orderkey * 7919 % 9973 + 1 AS bytes FROM orders),
+r AS (SELECT *, CAST(sum(bytes) OVER (ORDER BY pos) AS BIGINT) AS until FROM l),
+g(lo, hi) AS (
+  SELECT min(pos), max(pos) FROM r HAVING count(*) > 0
+  UNION ALL
+  SELECT unnest([c.lo, c.at.p + 1]), unnest([c.at.p, c.hi]) FROM (
+    SELECT g.lo, g.hi, min({'o': abs(h.until - f.until + f.bytes - 2 * (r.until - f.until + f.bytes)), 'p': r.pos}) AS at
+    FROM g JOIN r f ON f.pos = g.lo JOIN r h ON h.pos = g.hi JOIN r ON r.pos >= g.lo AND r.pos < g.hi
+    WHERE h.until - f.until + f.bytes > 768000 AND g.hi > g.lo GROUP BY g.lo, g.hi
+  ) c
+)
+SELECT CAST(row_number() OVER (ORDER BY g.lo) - 1 AS INTEGER) AS shard, f.o_orderkey AS first_key, h.o_orderkey AS last_key, g.hi - g.lo + 1 AS records, h.until - f.until + f.bytes AS bytes
+FROM g JOIN r f ON f.pos = g.lo JOIN r h ON h.pos = g.hi WHERE h.until - f.until + f.bytes <= 768000 OR g.hi = g.lo
+""")
+def q102_balanced_halving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as lines of all sizes in the order of their keys, halved by size until no group of several is over the target."""
+    k = F.col("o_orderkey")
+    lines = sharding.ordered(table(spark, sf_dir, "orders").select(k, (k * 7919 % 9973 + 1).alias("bytes")), "o_orderkey")
+    rows = sharding.layout(lines, sharding.Limits())
+    return rows.groupBy("shard").agg(F.min(k).alias("first_key"), F.max(k).alias("last_key"), F.count("*").alias("records"), F.sum("bytes").alias("bytes"))
+
+
 # scans of JSON and paths
 
 _FORMAL = """
