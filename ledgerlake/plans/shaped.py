@@ -529,10 +529,11 @@ def q100_simulated_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     out = None
     for name, (rows, check) in made.items():
-        found = check(rows).agg(F.count("*").cast("int").alias("findings"))
-        one = rows.agg(F.lit(name).alias("dataset"), F.count("*").alias("rows")).join(found.withColumn("dataset", F.lit(name)), "dataset")
-        out = one if out is None else out.unionByName(one)
-    return out
+        counted = rows.agg(F.lit(name).alias("dataset"), F.count("*").alias("rows"), F.lit(0).cast("long").alias("findings"))
+        found = check(rows).agg(F.lit(name).alias("dataset"), F.lit(0).cast("long").alias("rows"), F.count("*").alias("findings"))
+        both = counted.unionByName(found)
+        out = both if out is None else out.unionByName(both)
+    return out.groupBy("dataset").agg(F.sum("rows").alias("rows"), F.sum("findings").cast("int").alias("findings"))
 
 
 _GATE_POLICY = {
