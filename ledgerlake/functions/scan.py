@@ -31,12 +31,14 @@ DOCUMENTATION_NETWORKS = ("192.0.2.", "198.51.100.", "203.0.113.")
 
 @dataclass(frozen=True)
 class Pattern:
-    """``cheap`` is a test that every text with a match passes; ``counts`` says which matches count."""
+    """``cheap`` is a test that every text with a match passes; ``counts`` says which matches count.
+    ``group`` is the part of a match that is its value; ``located`` takes patterns whose value is the whole match."""
 
     code: str
     regex: str
     cheap: str
     counts: str = ""
+    group: int = 0
 
 
 PATTERNS = (
@@ -76,7 +78,7 @@ def _any(tests: list[Column]) -> Column:
 
 def matches(text: Column, p: Pattern) -> Column:
     """array<string> of the matches of ``p`` that count; empty for null."""
-    found = F.filter(F.regexp_extract_all(text, F.lit(p.regex), F.lit(0)), lambda m: _counts(p.counts, m))
+    found = F.filter(F.regexp_extract_all(text, F.lit(p.regex), F.lit(p.group)), lambda m: _counts(p.counts, m))
     none = F.array().cast("array<string>")
     return F.when(F.contains(text, F.lit(p.cheap)), found).otherwise(none) if p.cheap else F.coalesce(found, none)
 
